@@ -52,11 +52,19 @@ def _extract(spark: SparkSession, d: str) -> DataFrame:
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
     """Sales with launch names only: what the range and outlier rules read."""
     quarters = sales.launch_calendar(fx.calendar(spark, d), fx.launch_windows(spark, d))
-    return fx.daily_sales(spark, d).join(
-        quarters.select(F.col("date").alias("t_date"), F.col("launch_name").alias("quarter_label")),
-        "t_date",
-        "left",
+    return sales.add_quarters(fx.daily_sales(spark, d), quarters)
+
+
+def _base(spark: SparkSession, d: str) -> DataFrame:
+    """The base table, staged as the pipeline does between its jobs."""
+    table = pipeline.base_table(
+        fx.daily_sales(spark, d),
+        fx.shop_day_totals(spark, d),
+        fx.clusters(spark, d),
+        fx.calendar(spark, d),
+        fx.launch_windows(spark, d),
     )
+    return stage(table, "base")
 
 
 def _ranged(spark: SparkSession, d: str) -> DataFrame:
@@ -77,17 +85,12 @@ def _predicted(spark: SparkSession, d: str) -> DataFrame:
 
 def _training_table(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.training_table(
-        outliers.flag_outliers(_extract(spark, d)),
-        fx.weather_sites(spark, d),
-        fx.weather_forecast(spark, d),
-        fx.holidays(spark, d),
+        _base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d), fx.holidays(spark, d)
     )
 
 
 def _feature_table(spark: SparkSession, d: str) -> DataFrame:
-    return dataset.feature_table(
-        outliers.flag_outliers(_extract(spark, d)), fx.weather_sites(spark, d), fx.weather_forecast(spark, d)
-    )
+    return dataset.feature_table(_base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d))
 
 
 def _lag_feature_table(spark: SparkSession, d: str) -> DataFrame:
@@ -206,7 +209,9 @@ def outlier_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def anomaly_table(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.anomaly_table(_extract(spark, d))
+    return pipeline.anomaly_table(
+        fx.daily_sales(spark, d), fx.calendar(spark, d), fx.launch_windows(spark, d)
+    )
 
 
 # --- windows --------------------------------------------------------------------------

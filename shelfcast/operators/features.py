@@ -11,8 +11,7 @@ thousand rows in ten years however large the panel is. Rows with a missing key l
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -54,13 +53,6 @@ def rolling_days(value: str, days: int = 7, fn: str = "avg") -> Column:
     )
 
 
-def _mean(values: Sequence[Column]) -> Column:
-    """Mean of the present values; NULL when there is none."""
-    total = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0.0)) for v in values])
-    present = reduce(lambda a, b: a + b, [v.isNotNull().cast("int") for v in values])
-    return F.try_divide(total, present)
-
-
 def _panel(df: DataFrame, guard: bool) -> DataFrame:
     kept = df.dropna(subset=GRAIN)
     return guard_grain(kept) if guard else kept
@@ -92,52 +84,34 @@ def _add_week(df: DataFrame, target: str) -> DataFrame:
 
 
 def _add_same_weekday(df: DataFrame, target: str) -> DataFrame:
-    """Mean of the previous four and six rows of the same weekday.
-
-    Written with lags: the windows are short, so a handful of lags and one arithmetic
-    expression cost less than a sliding aggregate per row.
-    """
-    names = [f"_d{k}" for k in range(1, 7)]
-    lags = {name: F.lag(target, k).over(by_weekday()) for k, name in enumerate(names, 1)}
+    """Mean of the previous four and six rows of the same weekday."""
     known = F.col("day_of_week").isNotNull()
-    return (
-        df.withColumns(lags)
-        .withColumns(
-            {
-                f"same_last_{n}_days": F.when(known, _mean([F.col(name) for name in names[:n]]))
-                for n in (4, 6)
-            }
-        )
-        .drop(*names)
+    return df.withColumns(
+        {
+            f"same_last_{n}_days": F.when(known, F.avg(target).over(by_weekday().rowsBetween(-n, -1)))
+            for n in (4, 6)
+        }
     )
 
 
 def _add_weekpart(df: DataFrame, target: str) -> DataFrame:
     """Mean, max and min of four and six rows among weekdays or among weekend days.
 
-    The window ends four rows back on weekdays and two rows back on weekend days. Within
-    one (series, weekend flag) all rows share the flag, so both windows are lags of the
-    same ordered group and the flag picks which ones count.
+    The window ends four rows back on weekdays and two rows back on weekend days. Rows of
+    one (series, weekend flag) group share the flag, so each feature is one of two frames.
     """
-    offsets = range(WEEKEND_SHIFT, WEEKDAY_SHIFT + 6)
-    names = {k: f"_p{k}" for k in offsets}
-    lags = {name: F.lag(target, k).over(by_weekpart()) for k, name in names.items()}
 
-    def pick(fn: Callable[[list[Column]], Column], n: int) -> Column:
-        def window(shift: int) -> Column:
-            return fn([F.col(names[k]) for k in range(shift, shift + n)])
+    def frame(n: int, shift: int) -> WindowSpec:
+        return by_weekpart().rowsBetween(-(n + shift - 1), -shift)
 
-        return F.when(F.col("weekend_flag") == 0, window(WEEKDAY_SHIFT)).when(
-            F.col("weekend_flag") == 1, window(WEEKEND_SHIFT)
+    def pick(fn: Callable[[str], Column], n: int) -> Column:
+        return F.when(F.col("weekend_flag") == 0, fn(target).over(frame(n, WEEKDAY_SHIFT))).when(
+            F.col("weekend_flag") == 1, fn(target).over(frame(n, WEEKEND_SHIFT))
         )
 
-    functions = {"days": _mean, "max": lambda v: F.greatest(*v), "min": lambda v: F.least(*v)}
-    return (
-        df.withColumns(lags)
-        .withColumns(
-            {f"rolling_{n}_{what}": pick(fn, n) for what, fn in functions.items() for n in (4, 6)}
-        )
-        .drop(*names.values())
+    functions = {"days": F.avg, "max": F.max, "min": F.min}
+    return df.withColumns(
+        {f"rolling_{n}_{what}": pick(fn, n) for what, fn in functions.items() for n in (4, 6)}
     )
 
 

@@ -52,8 +52,9 @@ def find_outliers(df: DataFrame) -> DataFrame:
 def outlier_cells(df: DataFrame) -> DataFrame:
     """Range figures and weekday means per (series, quarter, weekend flag, weekday).
 
-    After the pre-aggregation everything is keyed by series: one shuffle of the cells
-    serves both windows, and a series has at most 14 cells per quarter.
+    Detail rows are reduced to cells before they are keyed by series; a series has at most
+    14 cells per quarter. One shuffle of the cells then serves both windows: days sold add
+    up over the weekdays of a quarter, means over the quarters of a weekday.
     """
     cells = (
         df.dropna(subset=RANGE_KEYS)
@@ -63,10 +64,13 @@ def outlier_cells(df: DataFrame) -> DataFrame:
             F.sum("qty").alias("qty_sum"),
             F.count(F.lit(1)).alias("n_rows"),
         )
+    )
+    counted = (
+        cells.join(trading_days(df), SHOP_KEYS)
         .repartition("shop_id", "product_id")
         .withColumn("no_days_sold", F.sum("sold").over(Window.partitionBy(*RANGE_KEYS)))
     )
-    ranged = add_range(cells.join(trading_days(df), SHOP_KEYS))
+    ranged = add_range(counted)
     weekday = Window.partitionBy(*MEAN_KEYS)
 
     def mean(flag: int, total: str, count: str):

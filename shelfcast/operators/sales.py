@@ -36,30 +36,34 @@ def launch_calendar(calendar: DataFrame, launches: DataFrame) -> DataFrame:
     return dates.join(inside, "date").select("date", "launch_name")
 
 
-def enrich_sales(
-    sales: DataFrame, totals: DataFrame, clusters: DataFrame, quarters: DataFrame
-) -> DataFrame:
-    """All sales columns plus shop-day total, cluster, its description and the launch name.
+def add_quarters(sales: DataFrame, quarters: DataFrame) -> DataFrame:
+    """Launch name of each sale's date as ``quarter_label``; NULL outside all launches.
 
-    Left joins throughout. A date in two launches multiplies its sales rows, as in the
-    original extract; check ``quarters`` with ``assert_unique_key`` where that is unwanted.
+    A date in two launches multiplies its sales rows, as in the original extract; check
+    ``quarters`` with ``assert_unique_key`` where that is unwanted.
     """
-    a = sales.alias("a")
-    b = totals.select("shop_id", F.col("date").alias("t_date"), "actual_retail_sales_net").alias("b")
-    d = clusters.select("shop_id", "cluster", "description").alias("d")
-    e = quarters.select(F.col("date").alias("t_date"), F.col("launch_name").alias("quarter_label")).alias("e")
+    names = quarters.select(F.col("date").alias("t_date"), F.col("launch_name").alias("quarter_label"))
+    return sales.join(names, "t_date", "left").select(*sales.columns, "quarter_label")
+
+
+def add_shop_data(sales: DataFrame, totals: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Shop-day total, cluster and its description; both left joins."""
+    days = totals.select("shop_id", F.col("date").alias("t_date"), "actual_retail_sales_net")
+    shops = clusters.select("shop_id", "cluster", "description")
     return (
-        a.join(d, F.col("a.shop_id") == F.col("d.shop_id"), "left")
-        .join(e, F.col("a.t_date") == F.col("e.t_date"), "left")
-        .join(
-            b,
-            (F.col("a.shop_id") == F.col("b.shop_id")) & (F.col("a.t_date") == F.col("b.t_date")),
-            "left",
-        )
-        .select("a.*", "b.actual_retail_sales_net", "d.cluster", "d.description", "e.quarter_label")
+        sales.join(shops, "shop_id", "left")
+        .join(days, ["shop_id", "t_date"], "left")
+        .select(*sales.columns, "actual_retail_sales_net", "cluster", "description")
     )
 
 
+def enrich_sales(
+    sales: DataFrame, totals: DataFrame, clusters: DataFrame, quarters: DataFrame
+) -> DataFrame:
+    """All sales columns plus shop-day total, cluster, its description and the launch name."""
+    return add_quarters(add_shop_data(sales, totals, clusters), quarters)
+
+
 def recent_sales(df: DataFrame, as_of: str | dt.date | None = None, months: int = 6) -> DataFrame:
     """Rows from ``months`` before the run date up to the day before it."""
     today = as_of_date(as_of)

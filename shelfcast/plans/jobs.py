@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from shelfcast.operators import models, outliers, sales, scoring, weather
+from shelfcast.operators import outliers, sales, scoring, weather
 from shelfcast.operators.checks import assert_unique_key
-from shelfcast.operators.dataset import add_new_qty, feature_table
+from shelfcast.operators.dataset import feature_table
 from shelfcast.operators.sales import drop_outliers
 from shelfcast.plans import pipeline
 from shelfcast.session import build_session
@@ -47,25 +48,26 @@ def _write(df, args) -> None:
 
 
 def run_anomaly(spark: SparkSession, conf: dict, args) -> None:
-    extract = sales.recent_sales(_extract(spark, conf["tables"]), args.as_of)
+    tables = conf["tables"]
+    daily, calendar, launches = (
+        read_table(spark, name, tables) for name in ("daily_sales", "calendar", "launch_windows")
+    )
+    table = pipeline.anomaly_table(sales.recent_sales(daily, args.as_of), calendar, launches)
     if args.report:
-        flagged = stage(outliers.flag_outliers(extract), "flagged")
-        ratio = outliers.outlier_ratio(flagged).first()["outlier_ratio"]
-        print(f"outlier ratio: {ratio} percent")
-        _write(flagged.select(*pipeline.ANOMALY_COLUMNS), args)
-    else:
-        _write(pipeline.anomaly_table(extract), args)
+        table = stage(table, "anomalies")
+        print(f"outlier ratio: {outliers.outlier_ratio(table).first()['outlier_ratio']} percent")
+    _write(table, args)
 
 
-def _codes(spark: SparkSession, conf: dict, rows, sites, forecast):
-    """Saved weather codes; fitted and saved on the first run."""
+def _saved_codes(spark: SparkSession, conf: dict, rows, sites, forecast):
+    """The weather codes at the configured path; fitted on these rows and saved if absent."""
     path = conf.get("codes")
     if not path:
-        return stage(weather.fit_weather_codes(rows, sites, forecast), "codes")
+        return None
     try:
         return spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
     write_parquet(weather.fit_weather_codes(rows, sites, forecast), path)
     return spark.read.parquet(path)
@@ -77,7 +79,7 @@ def run_features(spark: SparkSession, conf: dict, args) -> None:
     if args.report:
         assert_unique_key(base)
     sites, forecast = (read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast"))
-    codes = _codes(spark, conf, drop_outliers(base), sites, forecast)
+    codes = _saved_codes(spark, conf, drop_outliers(base), sites, forecast)
     _write(feature_table(base, sites, forecast, codes), args)
 
 
@@ -87,8 +89,7 @@ def run_train(spark: SparkSession, conf: dict, args) -> None:
         read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast", "holidays")
     )
     extract = _extract(spark, tables)
-    rows = drop_outliers(add_new_qty(outliers.flag_outliers(extract))) if not conf.get("codes") else extract
-    codes = _codes(spark, conf, rows, sites, forecast)
+    codes = _saved_codes(spark, conf, extract, sites, forecast)
     options = dict(conf.get("training", {}))
     result = pipeline.train_cluster(
         extract, sites, forecast, holidays, options.pop("from"), options.pop("to"), args.cluster, codes, **options

@@ -29,18 +29,33 @@ def sales_extract(
     return sales.enrich_sales(daily_sales, totals, clusters, sales.launch_calendar(calendar, launches))
 
 
-def anomaly_table(extract: DataFrame) -> DataFrame:
-    """The five-column outlier table of an enriched extract."""
-    return project(outliers.flag_outliers(extract), ANOMALY_COLUMNS)
+def anomaly_table(daily_sales: DataFrame, calendar: DataFrame, launches: DataFrame) -> DataFrame:
+    """The five-column outlier table.
+
+    Totals and clusters are joined only where their columns are used: they hold one row per
+    shop and day and per shop, so leaving them out here changes no row.
+    """
+    labelled = sales.add_quarters(daily_sales, sales.launch_calendar(calendar, launches))
+    return project(outliers.flag_outliers(labelled), ANOMALY_COLUMNS)
+
+
+def base_table(
+    daily_sales: DataFrame,
+    totals: DataFrame,
+    clusters: DataFrame,
+    calendar: DataFrame,
+    launches: DataFrame,
+) -> DataFrame:
+    """The extract with range figures and outlier flag; shop data comes after the flags."""
+    labelled = sales.add_quarters(daily_sales, sales.launch_calendar(calendar, launches))
+    return sales.add_shop_data(outliers.flag_outliers(labelled), totals, clusters)
 
 
-def base_table(extract: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
-    """The extract with its outlier flag, from a saved anomaly table or worked out here.
+def join_anomalies(extract: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """The extract with the outlier flag of a saved anomaly table.
 
-    Rows missing from a saved anomaly table have no flag and drop out of the features.
+    Rows that the anomaly table does not hold have no flag and drop out of the features.
     """
-    if anomalies is None:
-        return outliers.flag_outliers(extract)
     flags = anomalies.select("shop_id", "product_id", "t_date", "outlier")
     return extract.join(flags, ["shop_id", "product_id", "t_date"], "left").select(*extract.columns, "outlier")
 
@@ -64,8 +79,8 @@ def train_cluster(
     sites: DataFrame,
     forecast: DataFrame,
     holidays: DataFrame,
-    start: str | dt.date,
-    end: str | dt.date,
+    sales_from: str | dt.date,
+    sales_to: str | dt.date,
     cluster: int | None = None,
     codes: DataFrame | None = None,
     **options,
@@ -74,8 +89,12 @@ def train_cluster(
 
     ``options`` go to ``train_and_evaluate`` (dates, number of trees and so on). Columns that
     the extract does not carry, such as product names, are left out of the training table.
+    Without saved ``codes`` the flagged rows are staged, since the codes and the features
+    both read them.
     """
-    flagged = outliers.flag_outliers(sales.sales_between(extract, start, end, cluster))
+    flagged = outliers.flag_outliers(sales.sales_between(extract, sales_from, sales_to, cluster))
+    if codes is None:
+        flagged = stage(flagged, "flagged")
     table = training_table(flagged, sites, forecast, holidays, codes)
     features = [name for name in TRAINING_COLUMNS if name in table.columns]
     return models.train_and_evaluate(table, features, NOT_MODELLED, "new_qty", **options)

@@ -23,8 +23,18 @@ SCORING_AS_OF = "20011001"
 TRAIN_START, TRAIN_END, TEST_END = "19960101", "20000101", "20010101"
 
 
+# Columns of the test tables that are read here; declared, so that no job infers them.
+COLUMNS = {
+    "lineitem": "l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+    "o_orderpriority STRING",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
