@@ -291,7 +291,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(9 AS INTEGER) AS n_columns FROM fx_sales"
         ),
         "duplicate_keys": _sql(
-            "SELECT shop_id, t_date, count(*) AS n_rows FROM fx_sales GROUP BY ALL HAVING count(*) > 1"
+            "SELECT product_id, t_date, count(*) AS n_rows FROM fx_sales GROUP BY ALL HAVING count(*) > 1"
         ),
         "sales_enriched": _sql("SELECT * FROM extract"),
         "launch_calendar": _sql("SELECT * FROM quarters"),

@@ -149,8 +149,8 @@ def profile_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Shop days with more than one product: the sales table on a key that is not unique."""
-    return checks.duplicate_keys(fx.daily_sales(spark, d), ["shop_id", "t_date"])
+    """Products sold in several shops on a date: the sales table on a key that is not unique."""
+    return checks.duplicate_keys(fx.daily_sales(spark, d), ["product_id", "t_date"])
 
 
 # --- joins ----------------------------------------------------------------------------

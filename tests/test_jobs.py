@@ -1,0 +1,78 @@
+"""The command line, from source tables to scores."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from shelfcast import standins as fx
+from shelfcast.plans import jobs, pipeline
+from shelfcast.sources import load_model, save_model
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def config(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("jobs")
+    tables = {}
+    for name in ("daily_sales", "shop_day_totals", "clusters", "calendar", "launch_windows", "weather_sites",
+                 "weather_forecast", "holidays"):
+        getattr(fx, name)(spark, SF).write.mode("overwrite").parquet(f"{root}/{name}")
+        tables[name] = {"format": "parquet", "path": f"{root}/{name}"}
+    for name in ("base_table", "feature_table"):
+        tables[name] = {"path": f"{root}/{name}"}
+    conf = {
+        "tables": tables,
+        "models": f"{root}/models",
+        "codes": f"{root}/codes",
+        "training": {
+            "from": "19950101", "to": "20010101", "start": "19960101", "train_end": "20000101",
+            "test_end": "20010101", "closed": True, "trees": 2,
+        },
+    }
+    path = root / "conf.json"
+    path.write_text(json.dumps(conf))
+    return root, str(path), conf
+
+
+def test_all_jobs(spark, config, capsys):
+    root, path, conf = config
+    read = spark.read.parquet
+
+    jobs.main(["anomaly", "--config", path, "--out", f"{root}/anomalies", "--as-of", "20011105", "--report"])
+    anomalies = read(f"{root}/anomalies")
+    assert anomalies.columns == pipeline.ANOMALY_COLUMNS and anomalies.count() > 0
+    assert "outlier ratio" in capsys.readouterr().out
+    jobs.main(["anomaly", "--config", path, "--out", f"{root}/csv", "--as-of", "20011105", "--format", "csv"])
+    assert spark.read.csv(f"{root}/csv", header=True).count() == anomalies.count()
+
+    tables = [read(f"{root}/{name}") for name in jobs.EXTRACT_TABLES]
+    extract = pipeline.sales_extract(*tables)
+    jobs.main(["anomaly", "--config", path, "--out", f"{root}/all_anomalies", "--as-of", "20011105"])
+    everything = pipeline.anomaly_table(tables[0], tables[3], tables[4])
+    base = pipeline.join_anomalies(extract, everything)
+    base.write.mode("overwrite").parquet(f"{root}/base_table")
+    assert base.count() == extract.count()
+
+    jobs.main(["features", "--config", path, "--out", f"{root}/feature_table", "--report"])
+    features = read(f"{root}/feature_table")
+    assert len(features.columns) == 38 and features.count() == base.where("outlier = 0").count()
+    codes = read(f"{root}/codes")
+    assert codes.count() > 0
+
+    jobs.main(["train", "--config", path, "--out", f"{root}/scored", "--cluster", "3"])
+    scored = read(f"{root}/scored")
+    assert {"predictions", "MAPE", "Accuracy"} <= set(scored.columns) and scored.count() > 0
+    assert "MAPE_score" in capsys.readouterr().out
+
+    model = load_model(f"{root}/models/cluster_3")
+    for cluster in (0, 1, 2, 4, 5):
+        save_model(model, f"{root}/models/cluster_{cluster}")
+    jobs.main(["score-clusters", "--config", path, "--out", f"{root}/predictions", "--as-of", "20010601",
+               "--format", "csv", "--sep", "\\t"])
+    predictions = spark.read.csv(f"{root}/predictions", header=True, sep="\t")
+    routed = features.where("t_date >= '2001-06-01' AND cluster IN (0, 1, 2, 3, 4, 5)")
+    assert predictions.count() == routed.count() > 0
+    assert predictions.columns[-2:] == ["cluster", "prediction"] and len(predictions.columns) == 23

@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from shelfcast.operators import metrics, models, scoring
+from shelfcast.sources import cluster_path, load_models, save_model
+from shelfcast.sources.schemas import CLUSTER_MODEL_COLUMNS, SINGLE_MODEL_COLUMNS
+
+START = dt.date(2024, 1, 1)
+
+
+def table(spark, columns, days=60):
+    rng = random.Random(5)
+    rows = []
+    for i in range(days):
+        for shop in range(8):
+            values = {name: float(rng.randint(0, 30)) for name in columns}
+            values |= {"shop_id": shop, "product_id": 1}
+            cluster = None if shop == 7 else shop
+            if "Weather_Code" in values and rng.random() < 0.3:
+                values["Weather_Code"] = None
+            qty = 3.0 + 2 * (values["rolling_4_days" if "rolling_4_days" in values else "rolling_three_day_avg"])
+            rows.append((START + dt.timedelta(days=i), qty, qty, cluster, *[values[n] for n in columns if n != "cluster"]))
+    names = [n for n in columns if n != "cluster"]
+    types = {"shop_id": "long", "product_id": "long"}
+    schema = "t_date date, qty double, new_qty double, cluster int, " + ", ".join(
+        f"{n} {types.get(n, 'double')}" for n in names
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture(scope="module")
+def cluster_rows(spark):
+    return table(spark, CLUSTER_MODEL_COLUMNS).cache()
+
+
+@pytest.fixture(scope="module")
+def model(cluster_rows):
+    return models.train(cluster_rows, CLUSTER_MODEL_COLUMNS, "new_qty", trees=4, depth=3)
+
+
+def test_fill_and_marks(spark):
+    df = spark.createDataFrame([(1.0, 1, None), (None, 2, None), (5.0, 3, None), (9.0, 4, None)], "a double, b int, c double")
+    stages, outputs = models.impute_stages(df, ["a", "b", "c"])
+    assert outputs == ["_f_a_num", "_f_b_num", "_f_c_num", "_f_a_missing"]
+    fitted = Pipeline(stages=stages).fit(df)
+    got = [tuple(r) for r in fitted.transform(df).select(*outputs).collect()]
+    assert got == [(1.0, 1.0, 0.0, 0.0), (5.0, 2.0, 0.0, 1.0), (5.0, 3.0, 0.0, 0.0), (9.0, 4.0, 0.0, 0.0)]
+    later = spark.createDataFrame([(None, None, 2.0)], "a double, b int, c double")
+    assert tuple(fitted.transform(later).select(*outputs).first()) == (5.0, 2.5, 2.0, 1.0)
+
+
+def test_predict_keeps_columns_and_learns(cluster_rows, model):
+    got = models.predict(model, cluster_rows)
+    assert got.columns == [*cluster_rows.columns, "predictions"]
+    assert got.where("predictions IS NULL").count() == 0
+    assert metrics.forecast_r2(got, "new_qty", "predictions").first().r2 > 0.5
+    importances = models.feature_importances(model, cluster_rows.sparkSession)
+    assert importances.orderBy(F.desc("importance")).first().feature == "rolling_4_days"
+    assert importances.count() == len(CLUSTER_MODEL_COLUMNS) + 1
+
+
+def test_routing_and_storage(cluster_rows, model, tmp_path):
+    for cluster in scoring.CLUSTERS:
+        save_model(model, cluster_path(str(tmp_path), cluster))
+    loaded = load_models(str(tmp_path))
+    rows = cluster_rows.where("t_date = '2024-01-01'")
+    got = scoring.score_by_cluster(rows, loaded)
+    assert sorted(r.cluster for r in got.collect()) == [0, 1, 2, 3, 4, 5]
+    assert got.columns[-2:] == ["cluster", "prediction"]
+    direct = {r.shop_id: r.predictions for r in models.predict(model, rows).collect()}
+    assert all(direct[r.shop_id] == r.prediction for r in got.collect())
+    assert {r.cluster: r.n_rows for r in scoring.unrouted(rows).collect()} == {6: 1, None: 1}
+
+
+def test_single_model(spark):
+    rows = table(spark, SINGLE_MODEL_COLUMNS)
+    fitted = models.train(rows, SINGLE_MODEL_COLUMNS, "qty", trees=2)
+    got = scoring.score_single(rows, fitted, "20240221")
+    assert got.count() == 9 * 8 and got.columns[-1] == "predictions"
+    assert got.columns[:4] == ["shop_id", "product_id", "t_date", "qty"]
+
+
+def test_train_and_evaluate(cluster_rows):
+    features = [*CLUSTER_MODEL_COLUMNS, "t_date", "qty", "new_qty"]
+    result = models.train_and_evaluate(
+        cluster_rows, features, ["t_date", "qty", "new_qty"], "new_qty",
+        start="20240105", train_end="20240201", test_end="20240210", trees=3,
+    )
+    rows = result.scored.collect()
+    assert len(rows) == 9 * 8 and min(r.t_date for r in rows) == dt.date(2024, 2, 1)
+    assert all(r.predictions == round(r.predictions) for r in rows)
+    assert all(r.MAPE == pytest.approx(abs(r.new_qty - r.predictions) / r.new_qty) for r in rows)
+    figures = result.metrics.first()
+    assert figures.MAPE_score == pytest.approx(sum(r.MAPE for r in rows) / len(rows))
+    assert figures.Accuracy_score == pytest.approx(sum(r.Accuracy for r in rows) / len(rows))
+    closed = models.train_and_evaluate(
+        cluster_rows, features, ["t_date", "qty", "new_qty"], "new_qty",
+        start="20240105", train_end="20240201", test_end="20240210", closed=True, round_values=False, trees=1,
+    )
+    assert closed.scored.count() == 10 * 8
+    with pytest.raises(ValueError, match="no training rows"):
+        models.train_and_evaluate(cluster_rows, features, ["t_date", "qty", "new_qty"], "new_qty", start="20300101")
+
+
+def test_metrics(spark):
+    rows = [(10.0, 9.6, 10.0), (2.0, 2.0, 4.0), (100.0, 120.4, 100.0), (4.0, None, 4.0)]
+    df = spark.createDataFrame(rows, "qty double, p double, new_qty double")
+    got = metrics.forecast_metrics(df, "new_qty", "p").first()
+    assert got.MAPE_score == pytest.approx((0 + 0.2) / 2)
+    assert got.Accuracy_score == pytest.approx(1 / 3)
+    y, p = [10.0, 4.0, 100.0], [9.6, 2.0, 120.4]
+    mean = sum(y) / 3
+    assert got.r2 == pytest.approx(1 - sum((a - b) ** 2 for a, b in zip(y, p)) / sum((a - mean) ** 2 for a in y))
+    assert metrics.forecast_r2(df.where("qty < 0"), "new_qty", "p").first().r2 is None
+
+
+def test_model_comparison(spark):
+    df = spark.createDataFrame(
+        [("x", 2.0, 4.0, 4.4, 9.0), ("x", 30.0, 30.0, 31.0, 40.0), ("y", 5.0, 5.0, 5.0, float("inf")), (None, 9.0, 9.0, 9.0, 9.0)],
+        "description string, qty double, new_qty double, a double, b double",
+    )
+    got = metrics.compare_models(df, {"one": "a", "two": "b"})
+    rows = got.collect()
+    assert [r.one_MAPE for r in rows] == pytest.approx([0.0, 1 / 30, 0.0, 0.0])
+    assert rows[2].b is None and rows[2].two_MAPE is None and rows[2].two_acc == 0
+    assert [r.one_acc for r in rows] == [1, 1, 1, 1]
+    groups = metrics.accuracy_by_group(got, "description", ["one_acc", "two_acc"]).collect()
+    assert {r.description: (r.one_acc, r.two_acc) for r in groups} == {"x": (1.0, 0.0), "y": (1.0, 0.0)}
+    assert metrics.comparison_means(got, ["one"]).first().one_acc == 1.0

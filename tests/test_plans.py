@@ -1,0 +1,101 @@
+"""Plan shapes that matter on a large cluster, and behaviour under a hot key."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from shelfcast import standins as fx
+from shelfcast.catalog import oracle_sql, queries
+from shelfcast.operators import features, outliers, ranging, sales
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("+- == Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stored"))
+    fx.daily_sales(spark, SF).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_features_shuffle_once(stored):
+    text = plan(features.sales_features(stored))
+    assert text.count("Exchange") == 1
+    assert "Exchange hashpartitioning(shop_id" in text and "Python" not in text
+
+
+def test_rolling_stats_shuffle_once(stored):
+    from shelfcast.operators import lags
+
+    assert plan(lags.lag_features(stored)).count("Exchange") == 1
+
+
+def test_date_filter_and_columns_reach_the_scan(stored):
+    text = plan(sales.recent_sales(stored, "20011105").select("shop_id", "t_date"))
+    assert "GreaterThanOrEqual(t_date,2001-05-05)" in text and "LessThanOrEqual(t_date,2001-11-04)" in text
+    assert "ReadSchema: struct<shop_id:bigint,t_date:date>" in text
+
+
+def test_range_join_is_an_equi_join(spark):
+    df = queries()["launch_calendar"](spark, SF)
+    text = final_plan(df)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("name", ["anomaly_table", "sales_enriched", "weather_features", "feature_table"])
+def test_no_product_of_rows_and_no_python(spark, name):
+    text = final_plan(queries()[name](spark, SF))
+    for word in ("NestedLoop", "Cartesian", "Python", "collect_list"):
+        assert word not in text
+
+
+def test_hot_series_is_split(spark, day):
+    """A third of the rows in one range group: adaptive execution splits its join partition."""
+    rng = random.Random(2)
+    hot = [(1, 1, day(i % 90), float(i % 50), 0, "1", "Q") for i in range(60_000)]
+    cold = [
+        (rng.randint(2, 60), rng.randint(1, 60), day(rng.randint(0, 89)), 5.0, 0, str(rng.randint(1, 5)), "Q")
+        for _ in range(120_000)
+    ]
+    schema = (
+        "shop_id long, product_id long, t_date date, qty double, weekend_flag int, "
+        "week_day_description string, quarter_label string"
+    )
+    df = spark.createDataFrame(hot + cold, schema).repartition(16)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        flagged = outliers.flag_outliers(df)
+        rows = flagged.collect()
+        assert "skewed=true" in plan(flagged)
+        ranged = ranging.range_finder(df)
+        assert ranged.count() == len(rows) == 180_000
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    expected = outliers.find_outliers(ranging.range_finder(df))
+    assert sorted(map(str, rows)) == sorted(map(str, expected.collect()))
+
+
+def test_every_oracle_has_a_query():
+    assert set(oracle_sql()) <= set(queries())
+    assert len(queries()) == 56
