@@ -39,20 +39,22 @@ def _round(df: DataFrame, *names: str) -> DataFrame:
 # --- shared plans ---------------------------------------------------------------------
 
 
+def _quarters(spark: SparkSession, d: str) -> DataFrame:
+    return sales.launch_calendar(fx.calendar(spark, d), fx.launch_windows(spark, d))
+
+
 def _extract(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.sales_extract(
         fx.daily_sales(spark, d),
         fx.shop_day_totals(spark, d),
         fx.clusters(spark, d),
-        fx.calendar(spark, d),
-        fx.launch_windows(spark, d),
+        _quarters(spark, d),
     )
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
     """Sales with launch names only: what the range and outlier rules read."""
-    quarters = sales.launch_calendar(fx.calendar(spark, d), fx.launch_windows(spark, d))
-    return sales.add_quarters(fx.daily_sales(spark, d), quarters)
+    return sales.add_quarters(fx.daily_sales(spark, d), _quarters(spark, d))
 
 
 def _base(spark: SparkSession, d: str) -> DataFrame:
@@ -61,8 +63,7 @@ def _base(spark: SparkSession, d: str) -> DataFrame:
         fx.daily_sales(spark, d),
         fx.shop_day_totals(spark, d),
         fx.clusters(spark, d),
-        fx.calendar(spark, d),
-        fx.launch_windows(spark, d),
+        _quarters(spark, d),
     )
     return stage(table, "base")
 
@@ -161,7 +162,7 @@ def sales_enriched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def launch_calendar(spark: SparkSession, d: str) -> DataFrame:
-    return sales.launch_calendar(fx.calendar(spark, d), fx.launch_windows(spark, d))
+    return _quarters(spark, d)
 
 
 def holiday_join(spark: SparkSession, d: str) -> DataFrame:
@@ -209,9 +210,7 @@ def outlier_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def anomaly_table(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.anomaly_table(
-        fx.daily_sales(spark, d), fx.calendar(spark, d), fx.launch_windows(spark, d)
-    )
+    return pipeline.anomaly_table(fx.daily_sales(spark, d), _quarters(spark, d))
 
 
 # --- windows --------------------------------------------------------------------------

@@ -24,9 +24,13 @@ def add_new_qty(df: DataFrame) -> DataFrame:
 def feature_table(
     base: DataFrame, sites: DataFrame, forecast: DataFrame, codes: DataFrame | None = None
 ) -> DataFrame:
-    """The 38-column feature table of the rows that are not outliers."""
+    """The 38-column feature table of the rows that are not outliers.
+
+    ``forecast`` may be coded already; else the codes are ``codes`` or fitted on these rows.
+    """
     kept = drop_outliers(add_new_qty(base)).dropna(subset=GRAIN)
-    codes = fit_weather_codes(kept, sites, forecast) if codes is None else codes
+    if codes is None and "Weather_Code" not in forecast.columns:
+        codes = fit_weather_codes(kept, sites, forecast)
     return project(add_weather(sales_features(kept, "new_qty"), sites, forecast, codes), FEATURE_COLUMNS)
 
 

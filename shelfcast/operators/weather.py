@@ -117,7 +117,10 @@ def add_weather(
 ) -> DataFrame:
     """Forecast columns, ``Weather_Code``, ``Temp Range`` and ``temp_code``.
 
-    Without saved ``codes`` they are fitted on these rows.
+    ``forecast`` may already be the result of ``code_forecast``. If it is not, and there are
+    no saved ``codes``, they are fitted on these rows.
     """
-    codes = fit_weather_codes(df, sites, forecast) if codes is None else codes
-    return join_weather(df, sites, code_forecast(forecast, codes), WEATHER_FEATURES)
+    if not set(WEATHER_FEATURES) <= set(forecast.columns):
+        codes = fit_weather_codes(df, sites, forecast) if codes is None else codes
+        forecast = code_forecast(forecast, codes)
+    return join_weather(df, sites, forecast, WEATHER_FEATURES)

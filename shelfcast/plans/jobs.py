@@ -30,13 +30,19 @@ from shelfcast.sources import (
     write_parquet,
 )
 
-EXTRACT_TABLES = ("daily_sales", "shop_day_totals", "clusters", "calendar", "launch_windows")
+def _quarters(spark: SparkSession, tables: dict):
+    return pipeline.launch_quarters(
+        read_table(spark, "calendar", tables), read_table(spark, "launch_windows", tables)
+    )
 
 
 def _extract(spark: SparkSession, tables: dict):
     # Names and categories of products, where the sales table has them, are carried along.
     return pipeline.sales_extract(
-        *[read_table(spark, name, tables, keep_extra=name == "daily_sales") for name in EXTRACT_TABLES]
+        read_table(spark, "daily_sales", tables, keep_extra=True),
+        read_table(spark, "shop_day_totals", tables),
+        read_table(spark, "clusters", tables),
+        _quarters(spark, tables),
     )
 
 
@@ -44,15 +50,13 @@ def _write(df, args) -> None:
     if args.format == "csv":
         write_csv(df, args.out, args.sep, single_file=args.single_file)
     else:
-        write_parquet(df, args.out)
+        write_parquet(df, args.out, args.partition_by, rebalance=bool(args.partition_by))
 
 
 def run_anomaly(spark: SparkSession, conf: dict, args) -> None:
     tables = conf["tables"]
-    daily, calendar, launches = (
-        read_table(spark, name, tables) for name in ("daily_sales", "calendar", "launch_windows")
-    )
-    table = pipeline.anomaly_table(sales.recent_sales(daily, args.as_of), calendar, launches)
+    daily = sales.recent_sales(read_table(spark, "daily_sales", tables), args.as_of)
+    table = pipeline.anomaly_table(daily, _quarters(spark, tables))
     if args.report:
         table = stage(table, "anomalies")
         print(f"outlier ratio: {outliers.outlier_ratio(table).first()['outlier_ratio']} percent")
@@ -79,8 +83,10 @@ def run_features(spark: SparkSession, conf: dict, args) -> None:
     if args.report:
         assert_unique_key(base)
     sites, forecast = (read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast"))
-    codes = _saved_codes(spark, conf, drop_outliers(base), sites, forecast)
-    _write(feature_table(base, sites, forecast, codes), args)
+    rows = drop_outliers(base)
+    codes = _saved_codes(spark, conf, rows, sites, forecast)
+    coded = pipeline.coded_forecast(rows, sites, forecast, codes)
+    _write(feature_table(base, sites, coded), args)
 
 
 def run_train(spark: SparkSession, conf: dict, args) -> None:
@@ -130,6 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--sep", default=",")
     parser.add_argument("--single-file", action="store_true")
+    parser.add_argument("--partition-by", nargs="*", default=[])
     parser.add_argument("--as-of")
     parser.add_argument("--cluster", type=int, default=3)
     parser.add_argument("--report", action="store_true", help="also run the optional checks")

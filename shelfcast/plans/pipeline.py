@@ -1,4 +1,5 @@
-"""The pipeline's jobs as plans over input frames. Nothing here reads or writes a table."""
+"""The pipeline's jobs as plans over input frames. Sources and sinks are the
+caller's; only intermediate results are staged in the shared folder."""
 
 from __future__ import annotations
 
@@ -9,46 +10,57 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from shelfcast.operators import dataset, models, outliers, sales, scoring
-from shelfcast.operators.checks import project
+from shelfcast.operators.checks import GRAIN, project
 from shelfcast.operators.features import sales_features
-from shelfcast.operators.weather import add_weather
+from shelfcast.operators.weather import add_weather, code_forecast, fit_weather_codes
 from shelfcast.sources.schemas import NOT_MODELLED, TRAINING_COLUMNS
 from shelfcast.sources.tables import stage
 
 ANOMALY_COLUMNS = ["shop_id", "t_date", "product_id", "qty", "outlier"]
 
 
+def launch_quarters(calendar: DataFrame, launches: DataFrame) -> DataFrame:
+    """The launch calendar, staged.
+
+    It is joined straight onto stored sales. Staged, its exact size is known when that join is
+    planned, so a small calendar is broadcast and the sales are not shuffled by date.
+    """
+    return stage(sales.launch_calendar(calendar, launches), "quarters")
+
+
 def sales_extract(
-    daily_sales: DataFrame,
-    totals: DataFrame,
-    clusters: DataFrame,
-    calendar: DataFrame,
-    launches: DataFrame,
+    daily_sales: DataFrame, totals: DataFrame, clusters: DataFrame, quarters: DataFrame
 ) -> DataFrame:
     """Daily sales with shop-day totals, clusters and launch names."""
-    return sales.enrich_sales(daily_sales, totals, clusters, sales.launch_calendar(calendar, launches))
+    return sales.enrich_sales(daily_sales, totals, clusters, quarters)
 
 
-def anomaly_table(daily_sales: DataFrame, calendar: DataFrame, launches: DataFrame) -> DataFrame:
+def anomaly_table(daily_sales: DataFrame, quarters: DataFrame) -> DataFrame:
     """The five-column outlier table.
 
     Totals and clusters are joined only where their columns are used: they hold one row per
     shop and day and per shop, so leaving them out here changes no row.
     """
-    labelled = sales.add_quarters(daily_sales, sales.launch_calendar(calendar, launches))
-    return project(outliers.flag_outliers(labelled), ANOMALY_COLUMNS)
+    return project(outliers.flag_outliers(sales.add_quarters(daily_sales, quarters)), ANOMALY_COLUMNS)
 
 
 def base_table(
-    daily_sales: DataFrame,
-    totals: DataFrame,
-    clusters: DataFrame,
-    calendar: DataFrame,
-    launches: DataFrame,
+    daily_sales: DataFrame, totals: DataFrame, clusters: DataFrame, quarters: DataFrame
 ) -> DataFrame:
     """The extract with range figures and outlier flag; shop data comes after the flags."""
-    labelled = sales.add_quarters(daily_sales, sales.launch_calendar(calendar, launches))
-    return sales.add_shop_data(outliers.flag_outliers(labelled), totals, clusters)
+    flagged = outliers.flag_outliers(sales.add_quarters(daily_sales, quarters))
+    return sales.add_shop_data(flagged, totals, clusters)
+
+
+def coded_forecast(
+    rows: DataFrame, sites: DataFrame, forecast: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
+    """Forecasts with codes and bins, staged for the same reason as ``launch_quarters``.
+
+    Without saved ``codes`` they are counted on ``rows``.
+    """
+    codes = fit_weather_codes(rows, sites, forecast) if codes is None else codes
+    return stage(code_forecast(forecast, codes), "forecast")
 
 
 def join_anomalies(extract: DataFrame, anomalies: DataFrame) -> DataFrame:
@@ -68,10 +80,9 @@ def training_table(
     codes: DataFrame | None = None,
 ) -> DataFrame:
     """Flagged sales of one cluster or all, as a table ready for ``train_and_evaluate``."""
-    kept = dataset.add_new_qty(sales.drop_outliers(flagged))
-    return dataset.add_holidays(
-        add_weather(sales_features(kept, "new_qty"), sites, forecast, codes), holidays
-    )
+    kept = dataset.add_new_qty(sales.drop_outliers(flagged)).dropna(subset=GRAIN)
+    coded = coded_forecast(kept, sites, forecast, codes)
+    return dataset.add_holidays(add_weather(sales_features(kept, "new_qty"), sites, coded), holidays)
 
 
 def train_cluster(

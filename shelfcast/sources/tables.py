@@ -3,7 +3,7 @@
 A table config maps a logical table name to where it lives::
 
     {"daily_sales":    {"format": "parquet", "path": "s3://.../daily_sales"},
-     "launch_windows": {"format": "table", "name": "warehouse.range_tool.launch_dates"},
+     "launch_windows": {"format": "table", "name": "planning.assortment.launch_windows"},
      "clusters":       {"format": "jdbc", "options": {"url": ..., "dbtable": ..., ...}},
      "holidays":       {"format": "csv", "path": ..., "sep": "\\t"}}
 

@@ -48,11 +48,13 @@ def test_all_jobs(spark, config, capsys):
     jobs.main(["anomaly", "--config", path, "--out", f"{root}/csv", "--as-of", "20011105", "--format", "csv"])
     assert spark.read.csv(f"{root}/csv", header=True).count() == anomalies.count()
 
-    tables = [read(f"{root}/{name}") for name in jobs.EXTRACT_TABLES]
-    extract = pipeline.sales_extract(*tables)
-    jobs.main(["anomaly", "--config", path, "--out", f"{root}/all_anomalies", "--as-of", "20011105"])
-    everything = pipeline.anomaly_table(tables[0], tables[3], tables[4])
-    base = pipeline.join_anomalies(extract, everything)
+    daily, totals, clusters, calendar, launches = (
+        read(f"{root}/{name}")
+        for name in ("daily_sales", "shop_day_totals", "clusters", "calendar", "launch_windows")
+    )
+    quarters = pipeline.launch_quarters(calendar, launches)
+    extract = pipeline.sales_extract(daily, totals, clusters, quarters)
+    base = pipeline.join_anomalies(extract, pipeline.anomaly_table(daily, quarters))
     base.write.mode("overwrite").parquet(f"{root}/base_table")
     assert base.count() == extract.count()
 

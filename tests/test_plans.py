@@ -8,7 +8,8 @@ import pytest
 
 from shelfcast import standins as fx
 from shelfcast.catalog import oracle_sql, queries
-from shelfcast.operators import features, outliers, ranging, sales
+from shelfcast.operators import features, outliers, ranging, sales, weather
+from shelfcast.plans import pipeline
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,6 +54,23 @@ def test_range_join_is_an_equi_join(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_stored_sales_are_not_shuffled_for_small_tables(spark, stored, tmp_path):
+    """Known sizes: every lookup table is broadcast from the start, no exchange on the sales."""
+    for name in ("shop_day_totals", "clusters", "weather_sites", "weather_forecast"):
+        getattr(fx, name)(spark, SF).write.parquet(f"{tmp_path}/{name}")
+    totals, clusters, sites, forecast = (
+        spark.read.parquet(f"{tmp_path}/{name}")
+        for name in ("shop_day_totals", "clusters", "weather_sites", "weather_forecast")
+    )
+    quarters = pipeline.launch_quarters(fx.calendar(spark, SF), fx.launch_windows(spark, SF))
+    extract = pipeline.sales_extract(stored, totals, clusters, quarters)
+    text = plan(extract)
+    assert text.count("BroadcastHashJoin") == 3 and "Exchange hash" not in text
+    coded = pipeline.coded_forecast(stored, sites, forecast)
+    text = plan(weather.add_weather(stored, sites, coded))
+    assert text.count("BroadcastHashJoin") == 2 and "Exchange hash" not in text
+
+
 @pytest.mark.parametrize("name", ["anomaly_table", "sales_enriched", "weather_features", "feature_table"])
 def test_no_product_of_rows_and_no_python(spark, name):
     text = final_plan(queries()[name](spark, SF))
@@ -63,7 +81,7 @@ def test_no_product_of_rows_and_no_python(spark, name):
 def test_hot_series_is_split(spark, day):
     """A third of the rows in one range group: adaptive execution splits its join partition."""
     rng = random.Random(2)
-    hot = [(1, 1, day(i % 90), float(i % 50), 0, "1", "Q") for i in range(60_000)]
+    hot = [(1, 1, day(i % 90), float(rng.randint(1, 400)), 0, "1", "Q") for i in range(60_000)]
     cold = [
         (rng.randint(2, 60), rng.randint(1, 60), day(rng.randint(0, 89)), 5.0, 0, str(rng.randint(1, 5)), "Q")
         for _ in range(120_000)
@@ -76,9 +94,9 @@ def test_hot_series_is_split(spark, day):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
@@ -86,7 +104,7 @@ def test_hot_series_is_split(spark, day):
             spark.conf.set(key, value)
         flagged = outliers.flag_outliers(df)
         rows = flagged.collect()
-        assert "skewed=true" in plan(flagged)
+        assert "SortMergeJoin(skew=true)" in plan(flagged) and "skewed" in plan(flagged)
         ranged = ranging.range_finder(df)
         assert ranged.count() == len(rows) == 180_000
     finally:
