@@ -52,18 +52,24 @@ def _extract(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _stored_sales(spark: SparkSession, d: str) -> DataFrame:
+    """The sales as a table, for queries that read them several times."""
+    return stage(fx.daily_sales(spark, d), "sales")
+
+
+def _stored_quarters(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.launch_quarters(fx.calendar(spark, d), fx.launch_windows(spark, d))
+
+
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    """Sales with launch names only: what the range and outlier rules read."""
-    return sales.add_quarters(fx.daily_sales(spark, d), _quarters(spark, d))
+    """Stored sales with launch names: what the range and outlier rules read, several times."""
+    return sales.add_quarters(_stored_sales(spark, d), _stored_quarters(spark, d))
 
 
 def _base(spark: SparkSession, d: str) -> DataFrame:
     """The base table, staged as the pipeline does between its jobs."""
     table = pipeline.base_table(
-        fx.daily_sales(spark, d),
-        fx.shop_day_totals(spark, d),
-        fx.clusters(spark, d),
-        _quarters(spark, d),
+        _stored_sales(spark, d), fx.shop_day_totals(spark, d), fx.clusters(spark, d), _stored_quarters(spark, d)
     )
     return stage(table, "base")
 
@@ -91,7 +97,7 @@ def _training_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _feature_table(spark: SparkSession, d: str) -> DataFrame:
-    return dataset.feature_table(_base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d))
+    return pipeline.feature_table(_base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d))
 
 
 def _lag_feature_table(spark: SparkSession, d: str) -> DataFrame:
@@ -182,11 +188,11 @@ def unrouted_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def days_sold(spark: SparkSession, d: str) -> DataFrame:
-    return ranging.days_sold(_labelled(spark, d))
+    return ranging.days_sold(sales.add_quarters(fx.daily_sales(spark, d), _quarters(spark, d)))
 
 
 def trading_days(spark: SparkSession, d: str) -> DataFrame:
-    return ranging.trading_days(_labelled(spark, d))
+    return ranging.trading_days(sales.add_quarters(fx.daily_sales(spark, d), _quarters(spark, d)))
 
 
 def product_range(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +216,7 @@ def outlier_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def anomaly_table(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.anomaly_table(fx.daily_sales(spark, d), _quarters(spark, d))
+    return pipeline.anomaly_table(_stored_sales(spark, d), _stored_quarters(spark, d))
 
 
 # --- windows --------------------------------------------------------------------------
@@ -310,9 +316,9 @@ def temp_bins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weather_features(spark: SparkSession, d: str) -> DataFrame:
-    return weather.add_weather(
-        fx.daily_sales(spark, d).select(*GRAIN, "qty"), fx.weather_sites(spark, d), fx.weather_forecast(spark, d)
-    )
+    rows = stage(fx.daily_sales(spark, d).select(*GRAIN, "qty"), "sales")
+    sites = fx.weather_sites(spark, d)
+    return weather.add_weather(rows, sites, pipeline.coded_forecast(rows, sites, fx.weather_forecast(spark, d)))
 
 
 def feature_table(spark: SparkSession, d: str) -> DataFrame:

@@ -14,8 +14,6 @@ from pyspark.sql import SparkSession
 
 from shelfcast.operators import outliers, sales, scoring, weather
 from shelfcast.operators.checks import assert_unique_key
-from shelfcast.operators.dataset import feature_table
-from shelfcast.operators.sales import drop_outliers
 from shelfcast.plans import pipeline
 from shelfcast.session import build_session
 from shelfcast.sources import (
@@ -83,10 +81,8 @@ def run_features(spark: SparkSession, conf: dict, args) -> None:
     if args.report:
         assert_unique_key(base)
     sites, forecast = (read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast"))
-    rows = drop_outliers(base)
-    codes = _saved_codes(spark, conf, rows, sites, forecast)
-    coded = pipeline.coded_forecast(rows, sites, forecast, codes)
-    _write(feature_table(base, sites, coded), args)
+    codes = _saved_codes(spark, conf, sales.drop_outliers(base), sites, forecast)
+    _write(pipeline.feature_table(base, sites, forecast, codes), args)
 
 
 def run_train(spark: SparkSession, conf: dict, args) -> None:

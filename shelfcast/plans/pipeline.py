@@ -72,6 +72,14 @@ def join_anomalies(extract: DataFrame, anomalies: DataFrame) -> DataFrame:
     return extract.join(flags, ["shop_id", "product_id", "t_date"], "left").select(*extract.columns, "outlier")
 
 
+def feature_table(
+    base: DataFrame, sites: DataFrame, forecast: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
+    """The feature table of a stored base table, with the coded forecasts staged."""
+    rows = sales.drop_outliers(base).dropna(subset=GRAIN)
+    return dataset.feature_table(base, sites, coded_forecast(rows, sites, forecast, codes))
+
+
 def training_table(
     flagged: DataFrame,
     sites: DataFrame,
