@@ -396,6 +396,16 @@ def oracle_sql() -> dict[str, str]:
             "round(avg(first_acc), 6) AS first_acc, round(avg(second_acc), 6) AS second_acc FROM errors",
             **PANEL_NEW_QTY,
         ),
+        "impute_features": _sql(
+            f"SELECT {GRAIN}, coalesce(Weather_Code, m.code) AS \"Weather_Code_num\", "
+            "coalesce(temp_code, m.temp) AS temp_code_num, "
+            "CAST(Weather_Code IS NULL AS DOUBLE) AS \"Weather_Code_missing\", "
+            "CAST(temp_code IS NULL AS DOUBLE) AS temp_code_missing "
+            "FROM coded, (SELECT quantile_disc(Weather_Code, 0.5) AS code, quantile_disc(temp_code, 0.5) AS temp "
+            "FROM coded WHERE t_date >= DATE '1996-01-01' AND t_date < DATE '2000-01-01') m "
+            "WHERE t_date >= DATE '1996-01-01' AND t_date < DATE '2000-01-01'",
+            **DETAIL_SALES,
+        ),
         "accuracy_by_group": _sql(
             "SELECT description, round(avg(first_acc), 6) AS first_acc, round(avg(second_acc), 6) AS second_acc "
             "FROM errors JOIN fx_clusters USING (shop_id) WHERE qty > 2 GROUP BY 1",

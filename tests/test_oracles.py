@@ -24,9 +24,8 @@ def test_query_matches_sql(spark, duck, name):
     assert len(got) > 0
 
 
-@pytest.mark.parametrize("name", ["impute_features", "score_single"])
+@pytest.mark.parametrize("name", ["score_single"])
 def test_model_query_runs(spark, name):
     df = queries()[name](spark, SF)
     assert df.count() > 0
-    if name == "score_single":
-        assert df.where("predictions IS NULL").count() == 0
+    assert df.where("predictions IS NULL").count() == 0
