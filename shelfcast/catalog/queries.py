@@ -90,14 +90,16 @@ def _predicted(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _training_table(spark: SparkSession, d: str) -> DataFrame:
+def _training_table(spark: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
     return pipeline.training_table(
-        _base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d), fx.holidays(spark, d)
+        base or _base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d), fx.holidays(spark, d)
     )
 
 
-def _feature_table(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.feature_table(_base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d))
+def _feature_table(spark: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
+    return pipeline.feature_table(
+        base or _base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d)
+    )
 
 
 def _lag_feature_table(spark: SparkSession, d: str) -> DataFrame:
@@ -400,13 +402,14 @@ def train_model(spark: SparkSession, d: str) -> DataFrame:
 
 
 def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
+    extract = pipeline.sales_extract(
+        _stored_sales(spark, d), fx.shop_day_totals(spark, d), fx.clusters(spark, d), _stored_quarters(spark, d)
+    )
     result = pipeline.train_cluster(
-        _extract(spark, d),
+        pipeline.flagged_sales(extract, fx.TRAIN_START, fx.TEST_END),
         fx.weather_sites(spark, d),
         fx.weather_forecast(spark, d),
         fx.holidays(spark, d),
-        fx.TRAIN_START,
-        fx.TEST_END,
         start=fx.TRAIN_START,
         train_end=fx.TRAIN_END,
         test_end=fx.TEST_END,
@@ -418,8 +421,9 @@ def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
 
 def score_by_cluster(spark: SparkSession, d: str) -> DataFrame:
     """A model per cluster, each fitted on all earlier rows of its cluster."""
+    base = _base(spark, d)
     history = stage(
-        _training_table(spark, d).where(
+        _training_table(spark, d, base).where(
             (F.col("t_date") < F.lit(parse_ymd(fx.SCORING_AS_OF))) & F.col("cluster").isNotNull()
         ),
         "history",
@@ -434,7 +438,7 @@ def score_by_cluster(spark: SparkSession, d: str) -> DataFrame:
         if history.where(F.col("cluster") == cluster).head(1)
     }
     return pipeline.score_clusters(
-        _feature_table(spark, d), fx.holidays(spark, d), fx.clusters(spark, d), by_cluster, fx.SCORING_AS_OF
+        _feature_table(spark, d, base), fx.holidays(spark, d), fx.clusters(spark, d), by_cluster, fx.SCORING_AS_OF
     )
 
 

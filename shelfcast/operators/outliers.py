@@ -95,7 +95,11 @@ def outlier_cells(df: DataFrame) -> DataFrame:
 
 
 def flag_outliers(df: DataFrame) -> DataFrame:
-    """Same rows and columns as ``find_outliers(range_finder(df))``."""
+    """Same rows and columns as ``find_outliers(range_finder(df))``.
+
+    The input is read three times (cells, trading days, detail): pass a stored table rather
+    than a long plan.
+    """
     figures = ["no_days_sold", "shop_trading_days", "sales_vol_percent", "out_of_range"]
     return (
         df.join(outlier_cells(df), [*RANGE_KEYS, "week_day_description"])

@@ -18,6 +18,7 @@ from shelfcast.plans import pipeline
 from shelfcast.session import build_session
 from shelfcast.sources import (
     cluster_path,
+    drop_staged,
     load_config,
     load_model,
     load_models,
@@ -90,12 +91,12 @@ def run_train(spark: SparkSession, conf: dict, args) -> None:
     sites, forecast, holidays = (
         read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast", "holidays")
     )
-    extract = _extract(spark, tables)
-    codes = _saved_codes(spark, conf, extract, sites, forecast)
     options = dict(conf.get("training", {}))
-    result = pipeline.train_cluster(
-        extract, sites, forecast, holidays, options.pop("from"), options.pop("to"), args.cluster, codes, **options
+    flagged = pipeline.flagged_sales(
+        _extract(spark, tables), options.pop("from"), options.pop("to"), args.cluster
     )
+    codes = _saved_codes(spark, conf, sales.drop_outliers(flagged), sites, forecast)
+    result = pipeline.train_cluster(flagged, sites, forecast, holidays, codes, **options)
     save_model(result.model, cluster_path(conf["models"], args.cluster))
     print(result.metrics.first().asDict())
     _write(result.scored, args)
@@ -142,4 +143,7 @@ def main(argv: list[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    finally:
+        drop_staged(build_session())

@@ -93,27 +93,26 @@ def training_table(
     return dataset.add_holidays(add_weather(sales_features(kept, "new_qty"), sites, coded), holidays)
 
 
+def flagged_sales(
+    extract: DataFrame, sales_from: str | dt.date, sales_to: str | dt.date, cluster: int | None = None
+) -> DataFrame:
+    """Outlier flags of a date range, of one cluster if given; staged for codes and features."""
+    return stage(outliers.flag_outliers(sales.sales_between(extract, sales_from, sales_to, cluster)), "flagged")
+
+
 def train_cluster(
-    extract: DataFrame,
+    flagged: DataFrame,
     sites: DataFrame,
     forecast: DataFrame,
     holidays: DataFrame,
-    sales_from: str | dt.date,
-    sales_to: str | dt.date,
-    cluster: int | None = None,
     codes: DataFrame | None = None,
     **options,
 ) -> models.Evaluation:
-    """A training run: date range and cluster, outliers, features, weather, holidays, model.
+    """A training run on flagged sales: features, weather, holidays, model, evaluation.
 
     ``options`` go to ``train_and_evaluate`` (dates, number of trees and so on). Columns that
-    the extract does not carry, such as product names, are left out of the training table.
-    Without saved ``codes`` the flagged rows are staged, since the codes and the features
-    both read them.
+    the sales do not carry, such as product names, are left out of the training table.
     """
-    flagged = outliers.flag_outliers(sales.sales_between(extract, sales_from, sales_to, cluster))
-    if codes is None:
-        flagged = stage(flagged, "flagged")
     table = training_table(flagged, sites, forecast, holidays, codes)
     features = [name for name in TRAINING_COLUMNS if name in table.columns]
     return models.train_and_evaluate(table, features, NOT_MODELLED, "new_qty", **options)

@@ -1,6 +1,7 @@
 from shelfcast.sources.models import cluster_path, load_model, load_models, save_model
 from shelfcast.sources.tables import (
     conform,
+    drop_staged,
     load_config,
     read_delimited,
     read_table,
@@ -14,6 +15,7 @@ from shelfcast.sources.tables import (
 __all__ = [
     "cluster_path",
     "conform",
+    "drop_staged",
     "load_config",
     "load_model",
     "load_models",

@@ -135,6 +135,10 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _staging_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def stage(
     df: DataFrame, label: str = "stage", partition_by: Iterable[str] = (), *, rebalance: bool = False
 ) -> DataFrame:
@@ -142,15 +146,20 @@ def stage(
 
     For results that several jobs read: the work is done once, a lost executor costs no
     recomputation, and the planner knows the exact size of what it reads. The files stay in
-    a subfolder named after the application, to be removed when it has ended.
+    a subfolder named after the application until ``drop_staged`` removes them.
     """
     spark = df.sparkSession
-    folder = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
-    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    path = f"{_staging_folder(spark)}/{label}-{uuid.uuid4().hex}"
     write_parquet(df, path, partition_by, rebalance=rebalance)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Remove this application's staged files; frames read from them are unusable afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def load_config(path: str) -> dict[str, Any]:
     """A JSON job config from the driver's own file system."""
     with open(path, encoding="utf-8") as handle:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 
@@ -74,6 +75,16 @@ def test_stage_uses_the_named_folder(spark):
     assert "PartitionFilters: [isnotnull(cluster" in staged.where("cluster = 1")._jdf.queryExecution().toString()
 
 
+def test_staged_files_are_removed(spark, tmp_path):
+    from shelfcast.sources import drop_staged
+
+    staged = stage(spark.range(5).toDF("id"), "gone")
+    files = [path.removeprefix("file://") for path in staged.inputFiles()]
+    assert files and all(os.path.exists(path) for path in files)
+    drop_staged(spark)
+    assert not any(os.path.exists(path) for path in files)
+
+
 def test_bucketed_panel_needs_no_shuffle(spark, day):
     from shelfcast.operators.features import sales_features
 
