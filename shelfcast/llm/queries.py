@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import sharding, url_rules
+from shelfcast.llm import pii, quality, secrets, sharding, url_rules
 from shelfcast.llm.common import read
 
 # The rules of the query contract.
@@ -27,7 +27,20 @@ def op5_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard(read(spark, d, "documents"))
 
 
-REGISTERED = [op4_url_filters, op5_sharding]
+def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(read(spark, d, "documents"))
+
+
+def op9_secret_scans(spark: SparkSession, d: str) -> DataFrame:
+    found, _ = secrets.scan(read(spark, d, "documents"))
+    return secrets.digest(found)
+
+
+def op10_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.digest(pii.scan(read(spark, d, "documents")))
+
+
+REGISTERED = [op4_url_filters, op5_sharding, op8_quality_rules, op9_secret_scans, op10_pii]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
