@@ -14,6 +14,7 @@ rows, and merging adds counts. It is exact to repeat: no order of merging change
 from __future__ import annotations
 
 from collections import Counter
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -25,13 +26,14 @@ from shelfcast.llm.common import stage, text_batches
 
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper_words"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper_words", "n_echo_words"]
 # Metric: (value as an integer, slack of its fence, whether it has a lower fence too).
 METRICS: dict[str, tuple[str, int, bool]] = {
-    "word_length": ("100 * word_chars div greatest(n_words, 1)", 150, True),
-    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 30, False),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 250, False),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 100, False),
+    "word_length": ("100 * word_chars div greatest(n_words, 1)", 450, True),
+    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 15, False),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 400, False),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 200, False),
+    "echoes": ("1000 * n_echo_words div greatest(n_words, 1)", 100, False),
     "upper": ("1000 * n_upper_words div greatest(n_words, 1)", 150, False),
 }
 FENCE = 3
@@ -83,6 +85,7 @@ def measure_text(text: str | None) -> tuple[int, ...]:
         repeated_words(words),
         len(lines),
         sum(map(bytes.isupper, words)),
+        sum(map(eq, words, words[1:])),  # words equal to the one before
     )
 
 
