@@ -27,5 +27,35 @@ FROM split s LEFT JOIN best b ON b.page_id = s.page_id
 """
 
 
+ORACLES["op1_line_dedup"] = r"""
+WITH raw AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+    FROM documents WHERE text IS NOT NULL),
+lines AS (
+    SELECT doc_id, line_no,
+           list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM raw),
+placed AS (
+    SELECT doc_id, line_no, len(words) AS n, words, md5(array_to_string(words, ' ')) AS key,
+           {'id': doc_id, 'no': line_no} AS place
+    FROM lines WHERE len(words) > 0),
+uniq AS (SELECT key, any_value(words) AS words, any_value(n) AS n, min(place) AS place FROM placed GROUP BY key),
+cuts AS (
+    SELECT key, place, i, md5(array_to_string(words[:i - 1] || words[i + 1:], ' ')) AS rest
+    FROM (SELECT *, unnest(generate_series(1, n)) AS i FROM uniq WHERE n >= 8)),
+near AS (
+    SELECT a.key, b.place FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i
+    UNION ALL SELECT a.key, b.place FROM cuts a JOIN uniq b ON a.rest = b.key AND b.n >= 8
+    UNION ALL SELECT b.key, a.place FROM cuts a JOIN uniq b ON a.rest = b.key AND b.n >= 8
+    UNION ALL SELECT key, place FROM uniq),
+best AS (SELECT key, min(place) AS place FROM near GROUP BY key)
+SELECT p.doc_id, p.line_no, p.n AS n_words, p.place = b.place AS kept,
+       b.place.id AS first_doc_id, b.place.no AS first_line_no
+FROM placed p JOIN best b USING (key)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import pii, quality, secrets, sharding, url_rules
+from shelfcast.llm import line_dedup, pii, quality, secrets, sharding, simhash, url_rules
 from shelfcast.llm.common import read
 
 # The rules of the query contract.
@@ -19,6 +19,10 @@ URL_RULES = [
 ]
 
 
+def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.report(read(spark, d, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, d: str) -> DataFrame:
     return url_rules.judge(read(spark, d, "pages"), url_rules.rules_from(spark, URL_RULES))
 
@@ -27,6 +31,10 @@ def op5_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard(read(spark, d, "documents"))
 
 
+def op6_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, d, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(read(spark, d, "documents"))
 
@@ -40,7 +48,7 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.digest(pii.scan(read(spark, d, "documents")))
 
 
-REGISTERED = [op4_url_filters, op5_sharding, op8_quality_rules, op9_secret_scans, op10_pii]
+REGISTERED = [op1_line_dedup, op4_url_filters, op5_sharding, op6_simhash, op8_quality_rules, op9_secret_scans, op10_pii]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
