@@ -196,19 +196,17 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = [F.col("r.id").eqNullSafe(F.col("g.id")), F.col("r.th") == F.col("g.th")]
     joined = rows.alias("r").join(dropped.alias("g"), same, "left").select("doc", "text", "gone")
     split = F.split("text", "\n")
-    # Flags by line number, so that each line is looked up in one step.
+    # A flag for each line by its number, so that the lines are walked once.
+    numbers = F.sequence(F.lit(0), F.size(split) - 1)
     flags = F.array_sort(
         F.concat(
-            F.transform("gone", lambda i: F.struct(i.alias("i"), F.lit(True).alias("gone"))),
-            F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone")),
-                lambda i: F.struct(i.alias("i"), F.lit(False).alias("gone")),
-            ),
+            F.transform("gone", lambda i: F.struct(i.alias("i"), F.lit(False).alias("stays"))),
+            F.transform(F.array_except(numbers, F.col("gone")), lambda i: F.struct(i.alias("i"), F.lit(True).alias("stays"))),
         )
     )
-    flagged = joined.select("doc", "text", "gone", F.when(F.col("gone").isNotNull(), flags["gone"]).alias("flags"))
-    left = F.array_join(F.filter(split, lambda x, i: ~F.get("flags", i)), "\n")
-    out = flagged.select("doc", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"), "gone")
+    lines = F.zip_with(split, flags, lambda line, flag: F.when(flag["stays"], line))
+    left = F.concat_ws("\n", lines)  # without the nulls
+    out = joined.select("doc", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"), "gone")
     out = out.where(F.col("gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return out.select(
         *(

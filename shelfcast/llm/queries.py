@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import line_dedup, pii, quality, secrets, sharding, simhash, url_rules
+from shelfcast.llm import decontaminate, line_dedup, packing, pieces, pii, quality, secrets, sharding, simhash, url_rules
 from shelfcast.llm.common import read
 
+TOKENIZERS = os.environ.get("SHELFCAST_TOKENIZERS", "/opt/tokenizers")
+# Fixed value: the free id behind the ranks.
+END_OF_TEXT = 50256
 # The rules of the query contract.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -23,6 +27,15 @@ def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.report(read(spark, d, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.encode(read(spark, d, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", verify=True)
+
+
+def op3_packing(spark: SparkSession, d: str) -> DataFrame:
+    encoder = packing.RankEncoder(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return packing.pack(read(spark, d, "documents"), encoder, end=END_OF_TEXT)
+
+
 def op4_url_filters(spark: SparkSession, d: str) -> DataFrame:
     return url_rules.judge(read(spark, d, "pages"), url_rules.rules_from(spark, URL_RULES))
 
@@ -35,6 +48,10 @@ def op6_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, d, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("_th")
+
+
 def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(read(spark, d, "documents"))
 
@@ -48,7 +65,10 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.digest(pii.scan(read(spark, d, "documents")))
 
 
-REGISTERED = [op1_line_dedup, op4_url_filters, op5_sharding, op6_simhash, op8_quality_rules, op9_secret_scans, op10_pii]
+REGISTERED = [
+    op1_line_dedup, op2_sentencepiece, op3_packing, op4_url_filters, op5_sharding, op6_simhash,
+    op7_decontamination, op8_quality_rules, op9_secret_scans, op10_pii,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
