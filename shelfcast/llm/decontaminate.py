@@ -99,7 +99,10 @@ def leaks(
 
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    hashed = with_windows(with_tokens(rows, "text")).select("id", "th", F.posexplode("windows").alias("pos", "hash"))
+    # The outer form: for the inner one Spark infers a filter and copies the whole expression into it.
+    hashed = with_windows(with_tokens(rows, "text")).select(
+        "id", "th", F.posexplode_outer("windows").alias("pos", "hash")
+    )
     doc = ["id", "th"]
     hits = stage(hashed.join(bounded(probes, BROADCAST_ROWS), "hash"), "leak-hits")
 
