@@ -57,5 +57,105 @@ FROM placed p JOIN best b USING (key)
 """
 
 
+ORACLES["op8_quality_rules"] = r"""
+WITH split AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+spots AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS five
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM split WHERE len(words) >= 5)),
+twice AS (SELECT doc_id, i FROM spots QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 4)) AS at_word FROM twice),
+repeats AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id),
+counts AS (
+    SELECT s.doc_id, s.lang, s.source, len(words) AS n_words,
+           coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+           len(lines) AS n_lines,
+           len(list_filter(words, lambda w: regexp_matches(w, '[A-Z]') AND NOT regexp_matches(w, '[a-z]'))) AS n_upper_words,
+           len(list_filter(words, lambda w, i: i > 1 AND w = words[i - 1])) AS n_echo_words
+    FROM split s LEFT JOIN repeats r USING (doc_id)),
+based AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+metrics AS (
+    SELECT doc_id, lang, source, base_failed, unnest([
+        {'m': 'word_length', 'v': 100 * word_chars // greatest(n_words, 1), 'slack': 450, 'low': true},
+        {'m': 'symbols', 'v': 1000 * n_symbols // greatest(word_chars, 1), 'slack': 15, 'low': false},
+        {'m': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1), 'slack': 400, 'low': false},
+        {'m': 'repeats', 'v': 1000 * n_repeat_words // greatest(n_words, 1), 'slack': 200, 'low': false},
+        {'m': 'echoes', 'v': 1000 * n_echo_words // greatest(n_words, 1), 'slack': 100, 'low': false},
+        {'m': 'upper', 'v': 1000 * n_upper_words // greatest(n_words, 1), 'slack': 150, 'low': false}], recursive := true)
+    FROM based),
+binned AS (
+    SELECT *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b FROM metrics WHERE NOT base_failed),
+levels AS (
+    SELECT 2 AS level, lang, source, m, slack, low, b FROM binned
+    UNION ALL SELECT 1, lang, NULL, m, slack, low, b FROM binned
+    UNION ALL SELECT 0, NULL, NULL, m, slack, low, b FROM binned),
+ranked AS (
+    SELECT *, count(*) OVER g AS n, count(*) OVER (PARTITION BY level, lang, source, m ORDER BY b) AS upto
+    FROM levels WINDOW g AS (PARTITION BY level, lang, source, m)),
+quartiles AS (
+    SELECT level, lang, source, m, slack, low, min(b) FILTER (4 * upto >= n) AS q1, min(b) FILTER (4 * upto >= 3 * n) AS q3
+    FROM ranked WHERE n >= 40 GROUP BY ALL),
+cut AS (
+    SELECT level, lang, source, m, q3 + 3 * (q3 - q1) + slack AS high,
+           CASE WHEN low THEN q1 - 3 * (q3 - q1) - slack END AS low FROM quartiles),
+judged AS (
+    SELECT d.doc_id, bool_and(coalesce(v <= coalesce(a.high, b.high, c.high), true)
+                              AND coalesce(v >= coalesce(a.low, b.low, c.low), true)) AS fits
+    FROM metrics d
+    LEFT JOIN cut a ON a.level = 2 AND a.lang IS NOT DISTINCT FROM d.lang AND a.source IS NOT DISTINCT FROM d.source AND a.m = d.m
+    LEFT JOIN cut b ON b.level = 1 AND b.lang IS NOT DISTINCT FROM d.lang AND b.m = d.m
+    LEFT JOIN cut c ON c.level = 0 AND c.m = d.m
+    GROUP BY d.doc_id)
+SELECT b.* EXCLUDE (lang, source), NOT base_failed AND fits AS kept FROM based b JOIN judged USING (doc_id)
+"""
+
+# Base kinds, then the added ones; matches and the gaps between them give the offsets.
+ORACLES["op9_secret_scans"] = r"""
+WITH rules(rank, kind, pattern, keep) AS (VALUES
+    (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+',
+        '^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]{6,}$'),
+    (1, 'access', 'AKIA[A-Z0-9]+', '^.{20,}$'),
+    (2, 'hex', '[0-9a-f]+', '^.{24,}$'),
+    (3, 'pem', '-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----', ''),
+    (4, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}', ''),
+    (5, 'slack', 'xox[abprs]-[A-Za-z0-9-]{10,}', ''),
+    (6, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', '')),
+hits AS (
+    SELECT doc_id, 0 AS rank, regexp_extract_all(coalesce(text, ''), (SELECT pattern FROM rules WHERE rank = 0)) AS ms,
+           string_split_regex(coalesce(text, ''), (SELECT pattern FROM rules WHERE rank = 0)) AS gaps FROM documents
+    {more}),
+placed AS (
+    SELECT doc_id, rank, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap, generate_subscripts(ms, 1) AS i
+    FROM hits WHERE len(ms) > 0),
+ends AS (
+    SELECT doc_id, rank, m, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, rank ORDER BY i)::BIGINT AS e FROM placed),
+spans AS (
+    SELECT doc_id, r.rank, kind, e - length(m) AS s, e, kind || ':' || (e - length(m))::VARCHAR || ':' || e::VARCHAR AS span
+    FROM ends JOIN rules r USING (rank) WHERE keep = '' OR regexp_matches(m, keep)),
+digest AS (
+    SELECT doc_id, count(*) FILTER (rank = 0) AS a, count(*) FILTER (rank = 1) AS k, count(*) FILTER (rank = 2) AS h,
+           string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY s, rank) AS every
+    FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM documents LEFT JOIN digest USING (doc_id)
+""".replace(
+    "{more}",
+    "".join(
+        f"""UNION ALL SELECT doc_id, {rank}, regexp_extract_all(coalesce(text, ''), (SELECT pattern FROM rules WHERE rank = {rank})),
+           string_split_regex(coalesce(text, ''), (SELECT pattern FROM rules WHERE rank = {rank})) FROM documents
+    """
+        for rank in range(1, 7)
+    ),
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
