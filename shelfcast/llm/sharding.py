@@ -78,8 +78,8 @@ def _level(items: DataFrame, parts: int) -> DataFrame:
 def assign_groups(groups: DataFrame, parts: int, cell_items: int = 4000) -> DataFrame:
     """Shard of every group: (item string, bytes long) -> (item, shard). Items are unique.
 
-    No task sees more than about ``cell_items`` items below the root, and ``parts`` times (``HEAVY`` +
-    the number of last cells) at the root.
+    No task sees more than about ``cell_items`` items below the root, and twice that and ``parts`` times
+    ``HEAVY`` at the root.
     """
     groups = stage(groups, "shard-groups")
     n, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
@@ -92,25 +92,29 @@ def assign_groups(groups: DataFrame, parts: int, cell_items: int = 4000) -> Data
     count, links = n, []
     while True:
         cells = -(-count // cell_items)
-        level = stage(
-            _level(items.select(F.pmod(F.xxhash64("item"), F.lit(cells)).alias("cell"), "item", "bytes"), parts),
-            "shard-level",
-        )
+        items = items.withColumn("cell", F.pmod(F.xxhash64("item"), F.lit(cells)))
+        last = cells * parts <= cell_items
+        # The last level leaves one cell open: its items enter the root one by one and even out the rest.
+        closed = items.where("cell > 0") if last else items
+        level = stage(_level(closed.select("cell", "item", "bytes"), parts), "shard-level")
         # A part of a cell is an item of the next level.
         name = F.concat_ws(":", F.lit(len(links)), "cell", "part")
         links.append(level.select("item", name.alias("next")))
+        below = items.where("cell = 0").select("item", "bytes")
         items = level.groupBy(name.alias("item")).agg(F.sum("bytes").alias("bytes"))
         count = cells * parts
-        if count <= cell_items:
+        if last:
             break
-    root = items.unionByName(heavy.select("item", "bytes")).select(F.lit(0).cast("long").alias("cell"), "item", "bytes")
-    # At most parts * (HEAVY + cell_items / parts) rows meet here.
+    single = heavy.select("item", "bytes").unionByName(below)
+    # At most parts * HEAVY single groups, and twice about cell_items items, meet here.
+    root = items.unionByName(single).select(F.lit(0).cast("long").alias("cell"), "item", "bytes")
     final = stage(_level(root, parts).select("item", F.col("part").alias("shard")), "shard-root")
+    # Down again: an item that was left open has its shard already, the others take that of their part.
     placed = final
     for link in reversed(links):
-        below = link.join(placed.withColumnRenamed("item", "next"), "next").select("item", "shard")
-        placed = below
-    return placed.unionByName(final.join(heavy.select("item"), "item").select("item", "shard"))
+        opened = placed.join(link.select(F.col("next").alias("item")).distinct(), "item", "left_anti")
+        placed = link.join(placed.withColumnRenamed("item", "next"), "next").select("item", "shard").unionByName(opened)
+    return placed
 
 
 def shard(

@@ -73,7 +73,7 @@ def judge(
         .agg(F.max("verdict").alias("rule_verdict"))
     )
     rules = stage(rules, "url-rules")
-    depth = rules.select(F.max(F.size(F.split("rule_host", r"\."))).alias("n")).first()["n"] or 0
+    depth = rules.select(F.max(F.size(F.split("rule_host", r"\."))).alias("n")).first()["n"] or 1
 
     # Each distinct url once, under every suffix of its host that has rules.
     labels = F.split("host", r"\.")

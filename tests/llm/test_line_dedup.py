@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+import re
+
+from shelfcast.llm import line_dedup
+
+
+def words(line):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), line)
+    return tuple(re.findall(r"[^\x20\x09-\x0D]+", lower))
+
+
+def near(a, b):
+    """Whether at most one word differs, or one more stands in one of them."""
+    if abs(len(a) - len(b)) > 1 or min(len(a), len(b)) < line_dedup.MIN_WORDS:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    if len(a) < len(b):
+        a, b = b, a
+    return any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def slow(docs):
+    lines = [(i, n, words(x)) for i, t in docs if t is not None for n, x in enumerate(t.split("\n"))]
+    lines = sorted((i, n, w) for i, n, w in lines if w)
+    out = {}
+    for i, n, w in lines:
+        out[i, n] = next((j, m) for j, m, v in lines if v == w or near(v, w))
+    return out
+
+
+def corpus(dice, rows):
+    base = [[f"w{dice.randrange(40)}" for _ in range(dice.choice([1, 3, 7, 8, 9, 12, 20]))] for _ in range(25)]
+    docs = []
+    for i in range(rows):
+        lines = []
+        for _ in range(dice.randrange(6)):
+            line = list(dice.choice(base))
+            for _ in range(dice.choice([0, 0, 1, 1, 2])):
+                at = dice.randrange(len(line))
+                line[at : at + dice.choice([0, 1])] = [f"n{dice.randrange(3)}"] * dice.choice([0, 1, 1])
+                line = line or ["x"]
+            lines.append(dice.choice([" ", "  ", "\t"]).join(line).replace("w1", "W1"))
+        docs.append((i, "\n".join([*lines, *[" "] * dice.choice([0, 0, 1])])))
+    return docs
+
+
+def test_lines_against_brute_force(spark):
+    docs = corpus(random.Random(11), 120) + [(200, None), (201, ""), (202, " \n\t")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = line_dedup.report(frame).collect()
+    got = {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in rows}
+    want = slow(docs)
+    assert got == want and len(rows) == len(want)
+    assert all(r.kept == ((r.doc_id, r.line_no) == (r.first_doc_id, r.first_line_no)) for r in rows)
+
+
+def test_one_template_with_many_values(spark):
+    """Very many lines that share a variant: the earliest stays, the rest go."""
+    docs = [(i, f"the invoice with number {i} was sent to you last week by mail") for i in range(3000)]
+    rows = line_dedup.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in rows if r.kept] == [0] and {r.first_doc_id for r in rows} == {0}
+
+
+def test_documents_after_dropping(spark):
+    long = " ".join(f"u{i}" for i in range(20_000))
+    one = "a line of nine words that stands here twice"
+    rows = [
+        (1, f"{one}\n\nShort", 1), (2, f"Own\n{one.replace('nine', 'ten')}\n\nlast one", 2), (3, one, 3), (4, None, 4),
+        (5, "", 5), (6, " \n ", 6), (7, long, 7), (8, long + " more", 8), (9, f"short\nOwn\nnew\r\n{one}", 9), (None, "lost id", 1),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    frame = frame.selectExpr("doc_id", "text", "CAST(length(text) AS INT) AS n_chars", "key", "key AS gone", "key AS doc")
+    out = line_dedup.drop_lines(frame)
+    assert out.dtypes == frame.dtypes
+    got = {r.doc_id: (r.text, r.n_chars, r.key) for r in out.collect()}
+    text = {
+        1: f"{one}\n\nShort", 2: "Own\n\nlast one", 4: None, 5: "", 6: " \n ", 7: long, 9: "new\r", None: "lost id",
+    }
+    assert {k: v[0] for k, v in got.items()} == text
+    assert all(v[1] == (None if v[0] is None else len(v[0])) for v in got.values())
+
+
+def test_repeated_rows_and_empty_table(spark):
+    frame = spark.createDataFrame([(1, "same text here")] * 3, "doc_id long, text string")
+    assert [r.kept for r in line_dedup.report(frame).collect()] == [True] * 3
+    assert line_dedup.drop_lines(frame).count() == 3
+    assert line_dedup.report(frame.where("false")).collect() == []
+    assert line_dedup.drop_lines(frame.where("false")).collect() == []
