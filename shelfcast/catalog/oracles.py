@@ -268,6 +268,19 @@ SCORING_COLUMNS = (
 )
 
 
+LAG_TABLE = (
+    "SELECT shop_id, product_id, t_date, qty, day_of_week_no, "
+    "CAST(weekofyear(t_date) AS INTEGER) AS week_no_year, "
+    "CAST(month(t_date) AS INTEGER) AS financial_month_no, weekend_flag, "
+    "w1 AS Same_day_1_week_ago, w2 AS Same_day_2_week_ago, w3 AS Same_day_3_week_ago, "
+    "w4 AS Same_day_4_week_ago, w5 AS Same_day_5_week_ago, w6 AS Same_day_6_week_ago, "
+    "rolling_three_day_avg, rolling_three_day_max, rolling_three_day_min, rolling_five_day_avg, "
+    "rolling_five_day_max, rolling_five_day_min, rolling_five_day_median, rolling_seven_day_median, "
+    "actual_retail_sales_net, cluster "
+    f"FROM extract JOIN day_lags USING ({GRAIN}, qty) JOIN row_stats USING ({GRAIN})"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "scan_sales": _sql("SELECT * FROM fx_sales ORDER BY t_date, shop_id, product_id"),
@@ -321,6 +334,37 @@ def oracle_sql() -> dict[str, str]:
             "SELECT round(avg(outlier) * 100, 6) AS outlier_ratio FROM flagged", **SRC_LABELLED
         ),
         "anomaly_table": _sql("SELECT shop_id, t_date, product_id, qty, outlier FROM flagged", **SRC_EXTRACT),
+        "anomaly_table_recent": _sql(
+            "SELECT shop_id, t_date, product_id, qty, outlier FROM flagged",
+            src="SELECT * FROM extract WHERE t_date BETWEEN DATE '2001-11-05' - INTERVAL 6 MONTH "
+            "AND DATE '2001-11-05' - INTERVAL 1 DAY",
+        ),
+        "score_by_cluster_rows": _sql(
+            f"SELECT {SCORING_COLUMNS}, CAST(coalesce(c.cluster IN (SELECT cluster FROM ftable "
+            "WHERE t_date < DATE '2001-10-01' AND cluster BETWEEN 0 AND 5), false) AS INTEGER) AS predicted "
+            "FROM (SELECT * EXCLUDE (cluster) FROM ftable) a "
+            "LEFT JOIN (SELECT DISTINCT shop_id AS hs, date, school_holiday FROM fx_holidays) h "
+            "ON a.shop_id = h.hs AND a.t_date = h.date "
+            "LEFT JOIN (SELECT shop_id AS cs, cluster FROM fx_clusters) c ON c.cs = a.shop_id "
+            "WHERE t_date >= DATE '2001-10-01'",
+            **FEATURES,
+        ),
+        "score_single_rows": _sql(
+            f"SELECT *, CAST(1 AS INTEGER) AS predicted FROM ({LAG_TABLE}) WHERE t_date >= DATE '2001-10-01'"
+        ),
+        "train_and_evaluate_rows": _sql(
+            f"SELECT {GRAIN}, qty, CASE WHEN qty <= 3 THEN 4.0 ELSE qty END AS new_qty, "
+            "CAST(1 AS INTEGER) AS agrees FROM flagged "
+            "WHERE outlier = 0 AND t_date BETWEEN DATE '2000-01-01' AND DATE '2001-01-01'",
+            src="SELECT * FROM labelled WHERE t_date BETWEEN DATE '1996-01-01' AND DATE '2001-01-01'",
+        ),
+        "train_model_inputs": (
+            "SELECT unnest(['shop_id', 'product_id', 'weekend_flag', 'rolling_week_sales', 'weekly_trend', "
+            "'same_last_4_days', 'same_last_6_days', 'daily_trend', 'out_of_range', 'rolling_4_days', "
+            "'rolling_6_days', 'day_of_week_no', 'rolling_4_max', 'rolling_6_max', 'rolling_4_min', "
+            "'rolling_6_min', 'bank_holiday_flag', 'school_holiday', 'Weather_Code', 'temp_code']) AS feature, "
+            "CAST(1 AS INTEGER) AS weighed"
+        ),
         "rolling_7d_mean": _sql(f"SELECT {GRAIN}, mean_7d FROM week0", **PANEL_SALES),
         "rolling_7d_std": _sql(
             f"SELECT {GRAIN}, round(lag(s, 4) OVER (PARTITION BY shop_id, product_id ORDER BY t_date), 6) "
@@ -350,17 +394,7 @@ def oracle_sql() -> dict[str, str]:
             "coalesce(w6, w5, w4, w3, w2, w1, qty) AS SameDay_6_weeks FROM day_lags"
         ),
         "rolling_stats": _sql("SELECT * FROM row_stats"),
-        "lag_feature_table": _sql(
-            "SELECT shop_id, product_id, t_date, qty, day_of_week_no, "
-            "CAST(weekofyear(t_date) AS INTEGER) AS week_no_year, "
-            "CAST(month(t_date) AS INTEGER) AS financial_month_no, weekend_flag, "
-            "w1 AS Same_day_1_week_ago, w2 AS Same_day_2_week_ago, w3 AS Same_day_3_week_ago, "
-            "w4 AS Same_day_4_week_ago, w5 AS Same_day_5_week_ago, w6 AS Same_day_6_week_ago, "
-            "rolling_three_day_avg, rolling_three_day_max, rolling_three_day_min, rolling_five_day_avg, "
-            "rolling_five_day_max, rolling_five_day_min, rolling_five_day_median, rolling_seven_day_median, "
-            "actual_retail_sales_net, cluster "
-            f"FROM extract JOIN day_lags USING ({GRAIN}, qty) JOIN row_stats USING ({GRAIN})"
-        ),
+        "lag_feature_table": _sql(LAG_TABLE),
         "weather_join": _sql("SELECT * FROM weather", **DETAIL_SALES),
         "weather_codes": _sql("SELECT * FROM codes", **DETAIL_SALES),
         "label_codes": _sql("SELECT * FROM codes", **DETAIL_SALES),

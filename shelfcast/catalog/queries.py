@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast import standins as fx
@@ -28,8 +28,6 @@ from shelfcast.sources.schemas import CLUSTER_MODEL_COLUMNS, SINGLE_MODEL_COLUMN
 from shelfcast.sources.tables import stage
 
 GRAIN = checks.GRAIN
-# Small ensembles: the registered model queries show that the operators run at scale.
-QUICK_TREES = {"trees": 5, "depth": 3}
 
 
 def _round(df: DataFrame, *names: str) -> DataFrame:
@@ -58,7 +56,13 @@ def _stored_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored_quarters(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.launch_quarters(fx.calendar(spark, d), fx.launch_windows(spark, d))
+    return stage(_quarters(spark, d), "quarters")
+
+
+def _coded(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """Coded forecasts, staged; codes are counted on ``rows``."""
+    codes = weather.fit_weather_codes(rows, fx.weather_sites(spark, d), fx.weather_forecast(spark, d))
+    return stage(weather.code_forecast(fx.weather_forecast(spark, d), stage(codes, "codes")), "forecast")
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -90,29 +94,19 @@ def _predicted(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _training_table(spark: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
-    return pipeline.training_table(
-        base or _base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d), fx.holidays(spark, d)
-    )
+def _training_table(spark: SparkSession, d: str) -> DataFrame:
+    base = _base(spark, d)
+    coded = _coded(spark, d, pipeline.kept_sales(base))
+    return pipeline.training_table(base, fx.weather_sites(spark, d), coded, fx.holidays(spark, d))
 
 
-def _feature_table(spark: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
-    return pipeline.feature_table(
-        base or _base(spark, d), fx.weather_sites(spark, d), fx.weather_forecast(spark, d)
-    )
+def _feature_table(spark: SparkSession, d: str) -> DataFrame:
+    base = _base(spark, d)
+    return pipeline.feature_table(base, fx.weather_sites(spark, d), _coded(spark, d, pipeline.kept_sales(base)))
 
 
 def _lag_feature_table(spark: SparkSession, d: str) -> DataFrame:
-    """Inputs of the single model; the financial month is taken to be the calendar month."""
-    totals = fx.shop_day_totals(spark, d).withColumnRenamed("date", "t_date")
-    shops = fx.clusters(spark, d).select("shop_id", "cluster")
-    table = (
-        lags.lag_features(fx.daily_sales(spark, d))
-        .withColumns({"week_no_year": F.weekofyear("t_date"), "financial_month_no": F.month("t_date")})
-        .join(totals, ["shop_id", "t_date"], "left")
-        .join(shops, "shop_id", "left")
-    )
-    return table.select(*GRAIN, "qty", *SINGLE_MODEL_COLUMNS[2:])
+    return pipeline.lag_feature_table(fx.daily_sales(spark, d), fx.shop_day_totals(spark, d), fx.clusters(spark, d))
 
 
 def _scoring_input(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +204,7 @@ def outlier_means(spark: SparkSession, d: str) -> DataFrame:
 
 
 def outlier_flags(spark: SparkSession, d: str) -> DataFrame:
-    return outliers.find_outliers(_ranged(spark, d))
+    return outliers.flag_outliers(_labelled(spark, d))
 
 
 def outlier_ratio(spark: SparkSession, d: str) -> DataFrame:
@@ -221,6 +215,14 @@ def anomaly_table(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.anomaly_table(_stored_sales(spark, d), _stored_quarters(spark, d))
 
 
+def anomaly_table_recent(spark: SparkSession, d: str) -> DataFrame:
+    """The anomaly table as in the original: the last six months, all four joins before the flags."""
+    recent = stage(sales.recent_sales(fx.daily_sales(spark, d), fx.RECENT_AS_OF), "sales")
+    return pipeline.anomaly_table(
+        recent, _stored_quarters(spark, d), fx.shop_day_totals(spark, d), fx.clusters(spark, d)
+    )
+
+
 # --- windows --------------------------------------------------------------------------
 
 
@@ -319,8 +321,7 @@ def temp_bins(spark: SparkSession, d: str) -> DataFrame:
 
 def weather_features(spark: SparkSession, d: str) -> DataFrame:
     rows = stage(fx.daily_sales(spark, d).select(*GRAIN, "qty"), "sales")
-    sites = fx.weather_sites(spark, d)
-    return weather.add_weather(rows, sites, pipeline.coded_forecast(rows, sites, fx.weather_forecast(spark, d)))
+    return weather.add_weather(rows, fx.weather_sites(spark, d), _coded(spark, d, rows))
 
 
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
@@ -397,55 +398,95 @@ def impute_features(spark: SparkSession, d: str) -> DataFrame:
 def train_model(spark: SparkSession, d: str) -> DataFrame:
     """Importance of each model input after fitting on all training rows."""
     table = stage(_split(_training_table(spark, d))[0], "train-model")
-    model = models.train(table, CLUSTER_MODEL_COLUMNS, "new_qty", **QUICK_TREES)
+    model = models.train(table, CLUSTER_MODEL_COLUMNS, "new_qty")
     return models.feature_importances(model, spark)
 
 
 def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
-    extract = pipeline.sales_extract(
-        _stored_sales(spark, d), fx.shop_day_totals(spark, d), fx.clusters(spark, d), _stored_quarters(spark, d)
+    rows = pipeline.training_sales(
+        fx.daily_sales(spark, d), fx.clusters(spark, d), _stored_quarters(spark, d), fx.TRAIN_START, fx.TEST_END
     )
+    flagged = stage(outliers.flag_outliers(stage(rows, "training-sales")), "flagged")
     result = pipeline.train_cluster(
-        pipeline.flagged_sales(extract, fx.TRAIN_START, fx.TEST_END),
+        flagged,
         fx.weather_sites(spark, d),
-        fx.weather_forecast(spark, d),
+        _coded(spark, d, pipeline.kept_sales(flagged)),
         fx.holidays(spark, d),
         start=fx.TRAIN_START,
         train_end=fx.TRAIN_END,
         test_end=fx.TEST_END,
         closed=True,
-        **QUICK_TREES,
     )
     return result.scored
 
 
-def score_by_cluster(spark: SparkSession, d: str) -> DataFrame:
-    """A model per cluster, each fitted on all earlier rows of its cluster."""
-    base = _base(spark, d)
-    history = stage(
-        _training_table(spark, d, base).where(
-            (F.col("t_date") < F.lit(parse_ymd(fx.SCORING_AS_OF))) & F.col("cluster").isNotNull()
-        ),
-        "history",
-        ["cluster"],
-        rebalance=True,
-    )
+def _cluster_models(spark: SparkSession, d: str):
+    """Scoring rows, stored by cluster, and a model per cluster fitted on all its earlier rows.
+
+    Features are worked out once, for history and scoring days together. A cluster without history
+    has no model; its rows come back without a prediction.
+    """
+    table = dataset.add_holidays(_feature_table(spark, d), fx.holidays(spark, d))
+    table = stage(table, "cluster-features", ["cluster"], rebalance=True)
+    day = F.lit(parse_ymd(fx.SCORING_AS_OF))
+    filled = table.withColumn("out_of_range", F.lit(0))
+    history = filled.where((F.col("t_date") < day) & F.col("cluster").isin(*scoring.CLUSTERS))
+    present = {row["cluster"] for row in history.select("cluster").distinct().collect()}  # of six at most
     by_cluster = {
-        cluster: models.train(
-            history.where(F.col("cluster") == cluster), CLUSTER_MODEL_COLUMNS, "new_qty", **QUICK_TREES
-        )
-        for cluster in scoring.CLUSTERS
-        if history.where(F.col("cluster") == cluster).head(1)
+        cluster: models.train(history.where(F.col("cluster") == cluster), CLUSTER_MODEL_COLUMNS, "new_qty")
+        for cluster in sorted(present)
     }
-    return pipeline.score_clusters(
-        _feature_table(spark, d, base), fx.holidays(spark, d), fx.clusters(spark, d), by_cluster, fx.SCORING_AS_OF
+    rows = dataset.scoring_input(
+        table.drop("school_holiday", "shop_name"), fx.holidays(spark, d), fx.clusters(spark, d), fx.SCORING_AS_OF
     )
+    return stage(rows, "scoring", ["cluster"], rebalance=True), by_cluster
+
+
+def score_by_cluster(spark: SparkSession, d: str) -> DataFrame:
+    """A model per cluster; rows that no model takes have a NULL prediction."""
+    rows, by_cluster = _cluster_models(spark, d)
+    return pipeline.score_clusters(rows, by_cluster, keep_unrouted=True)
+
+
+def score_by_cluster_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All of the scored rows but the predicted number: inputs, cluster and whether it is there."""
+    scored = score_by_cluster(spark, d)
+    return scored.withColumn("predicted", F.col("prediction").isNotNull().cast("int")).drop("prediction")
+
+
+def score_single_rows(spark: SparkSession, d: str) -> DataFrame:
+    scored = score_single(spark, d)
+    return scored.withColumn("predicted", F.col("predictions").isNotNull().cast("int")).drop("predictions")
+
+
+def train_and_evaluate_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Keys and target of the test rows, and whether their scores agree with their predictions."""
+    scored = train_and_evaluate(spark, d)
+    error = F.abs(F.col("new_qty") - F.col("predictions")) / F.col("new_qty")
+    agrees = F.coalesce((F.abs(F.col("MAPE") - error) < 1e-9) & (F.col("predictions") == F.round("predictions")), F.lit(False))
+    return scored.select(*GRAIN, "qty", "new_qty", agrees.cast("int").alias("agrees"))
+
+
+def train_model_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """The inputs that a fitted model weighs, and their total importance in percent."""
+    found = train_model(spark, d).where("feature NOT LIKE '%missing'")
+    total = F.round(F.sum("importance").over(Window.partitionBy(F.lit(1))) * 100)
+    return found.select("feature", F.when(total > 50, 1).otherwise(0).alias("weighed"))
+
+
+def compare_fitted(spark: SparkSession, d: str) -> DataFrame:
+    """Two fitted models, a shallow and a deeper one, on all rows of the feature table."""
+    features = stage(_feature_table(spark, d), "features")
+    rows = dataset.add_holidays(features, fx.holidays(spark, d)).withColumn("out_of_range", F.lit(0))
+    history = stage(rows.where(F.col("t_date") < F.lit(parse_ymd(fx.TRAIN_END))), "history")
+    first, second = (models.train(history, CLUSTER_MODEL_COLUMNS, "new_qty", depth=depth) for depth in (2, 3))
+    return pipeline.compare_fitted(features, fx.holidays(spark, d), first, second)
 
 
 def score_single(spark: SparkSession, d: str) -> DataFrame:
     table = stage(_lag_feature_table(spark, d), "lag-features")
     history = table.where(F.col("t_date") < F.lit(parse_ymd(fx.SCORING_AS_OF)))
-    model = models.train(history, SINGLE_MODEL_COLUMNS, "qty", **QUICK_TREES)
+    model = models.train(history, SINGLE_MODEL_COLUMNS, "qty")
     return scoring.score_single(table, model, fx.SCORING_AS_OF)
 
 
@@ -459,7 +500,8 @@ REGISTERED = [
     weather_codes, label_codes, weather_code, temp_bins, weather_features, feature_table,
     train_test_split, train_test_split_open, forecast_scores, forecast_metrics, forecast_r2,
     compare_models, comparison_means, accuracy_by_group, impute_features, train_model,
-    train_and_evaluate, score_by_cluster, score_single,
+    train_and_evaluate, score_by_cluster, score_single, anomaly_table_recent, score_by_cluster_rows,
+    score_single_rows, train_and_evaluate_rows, train_model_inputs, compare_fitted,
 ]
 
 

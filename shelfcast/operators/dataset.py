@@ -44,23 +44,37 @@ def add_holidays(df: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
-def split_by_date(
+def mark_parts(
     df: DataFrame,
     start: str | dt.date,
     train_end: str | dt.date,
     test_end: str | dt.date,
     *,
     closed: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Training rows [start, train_end) and test rows from train_end to test_end.
+) -> DataFrame:
+    """Rows of the training and test ranges with their part, ``train`` or ``test``, in ``_part``.
 
-    ``closed`` decides whether test_end itself belongs to the test rows.
+    Training rows lie in [start, train_end), test rows from train_end to test_end, which belongs
+    to them if ``closed``.
     """
     date = F.col("t_date")
     low, cut, high = (F.lit(parse_ymd(value)) for value in (start, train_end, test_end))
-    train = df.where((date >= low) & (date < cut))
-    upper = date <= high if closed else date < high
-    return train, df.where((date >= low) & (date >= cut) & upper)
+    part = F.when(date < cut, "train").when(date <= high if closed else date < high, "test")
+    return df.where(date >= low).withColumn("_part", part).where(F.col("_part").isNotNull())
+
+
+def split_by_date(
+    df: DataFrame,
+    start: str | dt.date,
+    train_end: str | dt.date,
+    test_end: str | dt.date,
+    *,
+    closed: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows; see ``mark_parts``."""
+    marked = mark_parts(df, start, train_end, test_end, closed=closed)
+    train, test = (marked.where(F.col("_part") == part).drop("_part") for part in ("train", "test"))
+    return train, test
 
 
 def scoring_input(

@@ -1,13 +1,8 @@
 """Outlying days per shop, product and weekday.
 
-Two ways to the same columns:
-
-* ``find_outliers(range_finder(df))`` - the steps one by one, for any input that already
-  carries range figures;
-* ``flag_outliers(df)`` - both steps from one pre-aggregation. Counts and sums per
-  (series, quarter, weekend flag, weekday) cell hold everything the rules need, at about a
-  thirteenth of the rows, so the wide detail rows are shuffled at most once, for the final
-  join, and not at all when the cells are small enough to broadcast.
+Counts and sums per (series, quarter, weekend flag, weekday) cell hold everything the rules need, at
+about a thirteenth of the rows, so the wide detail rows are shuffled at most once, for the final
+join, and not at all when the cells are small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +14,7 @@ from shelfcast.functions.rules import outlier_flag
 from shelfcast.operators.ranging import RANGE_KEYS, SHOP_KEYS, add_range, trading_days
 
 MEAN_KEYS = ["shop_id", "product_id", "week_day_description"]
+RANGE_FIGURES = ["no_days_sold", "shop_trading_days", "sales_vol_percent", "out_of_range"]
 MEAN_COLUMNS = ["in_range_mean", "out_of_range_mean", "days_sold_range", "days_sold_out_of_range"]
 
 
@@ -41,12 +37,11 @@ def outlier_means(df: DataFrame) -> DataFrame:
 
 
 def find_outliers(df: DataFrame) -> DataFrame:
-    """Rows of ``range_finder`` with their means and the 0/1 outlier flag."""
-    return (
-        df.join(outlier_means(df), MEAN_KEYS)
-        .withColumn("outlier", outlier_flag())
-        .select(*df.columns, *MEAN_COLUMNS, "outlier")
-    )
+    """Rows of ``range_finder`` with their means and the 0/1 outlier flag.
+
+    The figures that the rows carry come out of the same cells as the means; see ``flag_outliers``.
+    """
+    return flag_outliers(df.drop(*RANGE_FIGURES))
 
 
 def outlier_cells(df: DataFrame) -> DataFrame:
@@ -95,16 +90,15 @@ def outlier_cells(df: DataFrame) -> DataFrame:
 
 
 def flag_outliers(df: DataFrame) -> DataFrame:
-    """Same rows and columns as ``find_outliers(range_finder(df))``.
+    """Rows that have range figures, with the figures, the means and the 0/1 outlier flag.
 
     The input is read three times (cells, trading days, detail): pass a stored table rather
     than a long plan.
     """
-    figures = ["no_days_sold", "shop_trading_days", "sales_vol_percent", "out_of_range"]
     return (
         df.join(outlier_cells(df), [*RANGE_KEYS, "week_day_description"])
         .withColumn("outlier", outlier_flag())
-        .select(*df.columns, *figures, *MEAN_COLUMNS, "outlier")
+        .select(*df.columns, *RANGE_FIGURES, *MEAN_COLUMNS, "outlier")
     )
 
 

@@ -39,19 +39,38 @@ def launch_calendar(calendar: DataFrame, launches: DataFrame) -> DataFrame:
 def add_quarters(sales: DataFrame, quarters: DataFrame) -> DataFrame:
     """Launch name of each sale's date as ``quarter_label``; NULL outside all launches.
 
-    A date in two launches multiplies its sales rows, as in the original extract; check
-    ``quarters`` with ``assert_unique_key`` where that is unwanted.
+    A date in two launches multiplies its sales rows, as in the original extract. Range figures and
+    features need one row per series and date, so the jobs check the calendar first; see
+    ``assert_one_launch``.
     """
     names = quarters.select(F.col("date").alias("t_date"), F.col("launch_name").alias("quarter_label"))
     return sales.join(names, "t_date", "left").select(*sales.columns, "quarter_label")
 
 
+def assert_one_launch(quarters: DataFrame) -> None:
+    """Raise, naming date and launches, where the launch calendar has two launches for a date."""
+    found = (
+        quarters.groupBy("date")
+        .agg(F.sort_array(F.collect_set("launch_name")).alias("launches"))
+        .where(F.size("launches") > 1)
+        .orderBy("date")
+        .first()
+    )
+    if found:
+        raise ValueError(f"launches overlap on {found['date']}: {', '.join(found['launches'])}")
+
+
+def add_clusters(sales: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Cluster of the shop and its description; all rows stay."""
+    shops = clusters.select("shop_id", "cluster", "description")
+    return sales.join(shops, "shop_id", "left").select(*sales.columns, "cluster", "description")
+
+
 def add_shop_data(sales: DataFrame, totals: DataFrame, clusters: DataFrame) -> DataFrame:
     """Shop-day total, cluster and its description; both left joins."""
     days = totals.select("shop_id", F.col("date").alias("t_date"), "actual_retail_sales_net")
-    shops = clusters.select("shop_id", "cluster", "description")
     return (
-        sales.join(shops, "shop_id", "left")
+        add_clusters(sales, clusters)
         .join(days, ["shop_id", "t_date"], "left")
         .select(*sales.columns, "actual_retail_sales_net", "cluster", "description")
     )

@@ -51,23 +51,37 @@ def join_weather(
 def rank_labels(counts: DataFrame, label: str, code: str = "code") -> DataFrame:
     """Codes 0..n-1 by descending ``n_rows``; ties by label.
 
-    Two windows keep any single group small: one over the distinct frequencies, of which
-    there are at most the square root of twice the row count, and one inside each frequency.
+    The labels are sorted over a fixed number of ranges and numbered inside each; a range starts
+    where the ranges before it end, by a table of one count per range. A wide vocabulary, or very
+    many labels of one frequency, spread over all ranges.
     """
-    above = Window.orderBy(F.col("n_rows").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    tiers = (
-        counts.groupBy("n_rows")
+    ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("n_rows").desc(), F.col(label)]
+    spread = counts.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        spread.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_labels"))
-        .select("n_rows", F.coalesce(F.sum("_labels").over(above), F.lit(0)).alias("_above"))
+        .select("_range", F.coalesce(F.sum("_labels").over(before), F.lit(0)).alias("_start"))
     )
-    within = F.row_number().over(Window.partitionBy("n_rows").orderBy(label)) - 1
     return (
-        counts.withColumn("_within", within)
-        .join(tiers, "n_rows")
-        .select(label, "n_rows", (F.col("_above") + F.col("_within")).cast("double").alias(code))
+        spread.withColumn("_within", within)
+        .join(starts, "_range")
+        .select(label, "n_rows", (F.col("_start") + F.col("_within")).cast("double").alias(code))
     )
 
 
+def extend_codes(saved: DataFrame, fitted: DataFrame, label: str = "WeatherDescriptor", code: str = "Weather_Code") -> DataFrame:
+    """Rows to add to ``saved`` for labels it lacks; what is saved keeps its codes.
+
+    New labels follow the highest saved code in the order of their fitted codes.
+    """
+    new = fitted.join(saved.select(label), label, "left_anti").select(label, "n_rows")
+    top = saved.agg(F.coalesce(F.max(code) + 1, F.lit(0.0))).first()[0]
+    return rank_labels(new, label, code).withColumn(code, F.col(code) + F.lit(top))
+
+
 def fit_label_codes(df: DataFrame, label: str, code: str = "code") -> DataFrame:
     """Table of label, row count and code for the labels of ``df``; NULL has no code."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -1,8 +1,8 @@
 """Command line: ``python -m shelfcast.plans.jobs <job> --config tables.json --out path``.
 
 The config holds ``tables`` (see ``sources.tables``), and where a job needs them ``models``
-(folder of the cluster models), ``model`` (path of the single model) and ``codes`` (path of
-the saved weather codes). ``--as-of`` fixes the run date; without it, it is the current date.
+(folder of the cluster models), ``clusters`` (their ids, 0 to 5 by default), ``model`` (path of the
+single model), ``compare`` (paths of two models) and ``codes`` (path of the saved weather codes). ``--as-of`` fixes the run date; without it, it is the current date.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import argparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from shelfcast.operators import outliers, sales, scoring, weather
+from shelfcast.operators import dataset, metrics, outliers, sales, scoring, weather
 from shelfcast.operators.checks import assert_unique_key
 from shelfcast.plans import pipeline
 from shelfcast.session import build_session
@@ -30,85 +30,124 @@ from shelfcast.sources import (
 )
 
 def _quarters(spark: SparkSession, tables: dict):
-    return pipeline.launch_quarters(
-        read_table(spark, "calendar", tables), read_table(spark, "launch_windows", tables)
+    """The launch calendar, staged: joined onto stored sales, its exact size is known to the planner."""
+    quarters = stage(
+        sales.launch_calendar(read_table(spark, "calendar", tables), read_table(spark, "launch_windows", tables)),
+        "quarters",
     )
+    sales.assert_one_launch(quarters)
+    return quarters
 
 
-def _extract(spark: SparkSession, tables: dict):
-    # Names and categories of products, where the sales table has them, are carried along.
-    return pipeline.sales_extract(
-        read_table(spark, "daily_sales", tables, keep_extra=True),
-        read_table(spark, "shop_day_totals", tables),
-        read_table(spark, "clusters", tables),
-        _quarters(spark, tables),
-    )
+def _shop_tables(spark: SparkSession, tables: dict):
+    """Shop-day totals and clusters, both checked to hold a key once: a second one would multiply sales."""
+    totals, clusters = (read_table(spark, name, tables) for name in ("shop_day_totals", "clusters"))
+    assert_unique_key(totals, ["shop_id", "date"])
+    assert_unique_key(clusters, ["shop_id"])
+    return totals, clusters
+
+
+def _stored(df, tables: dict, name: str):
+    """Staged unless it is read from columnar files: the flags read their input three times."""
+    return df if tables[name].get("format", "parquet") in ("parquet", "orc", "table") else stage(df, name)
 
 
 def _write(df, args) -> None:
     if args.format == "csv":
-        write_csv(df, args.out, args.sep, single_file=args.single_file)
+        write_csv(df, args.out, args.sep, args.order_by)
     else:
         write_parquet(df, args.out, args.partition_by, rebalance=bool(args.partition_by))
 
 
 def run_anomaly(spark: SparkSession, conf: dict, args) -> None:
     tables = conf["tables"]
+    _shop_tables(spark, tables)
     daily = sales.recent_sales(read_table(spark, "daily_sales", tables), args.as_of)
-    table = pipeline.anomaly_table(daily, _quarters(spark, tables))
+    table = pipeline.anomaly_table(_stored(daily, tables, "daily_sales"), _quarters(spark, tables))
     if args.report:
         table = stage(table, "anomalies")
         print(f"outlier ratio: {outliers.outlier_ratio(table).first()['outlier_ratio']} percent")
     _write(table, args)
 
 
-def _saved_codes(spark: SparkSession, conf: dict, rows, sites, forecast):
-    """The weather codes at the configured path; fitted on these rows and saved if absent."""
+def run_base(spark: SparkSession, conf: dict, args) -> None:
+    """The base table that ``features`` reads: all sales with shop data, launches and flags."""
+    tables = conf["tables"]
+    totals, clusters = _shop_tables(spark, tables)
+    daily = _stored(read_table(spark, "daily_sales", tables, keep_extra=True), tables, "daily_sales")
+    _write(pipeline.base_table(daily, totals, clusters, _quarters(spark, tables)), args)
+
+
+def run_lag_features(spark: SparkSession, conf: dict, args) -> None:
+    """The lag feature table that ``score-single`` reads."""
+    tables = conf["tables"]
+    totals, clusters = _shop_tables(spark, tables)
+    _write(pipeline.lag_feature_table(read_table(spark, "daily_sales", tables), totals, clusters), args)
+
+
+def _coded_forecast(spark: SparkSession, conf: dict):
+    """Sites and the forecasts with codes and bins, staged to be joined onto stored sales.
+
+    Codes are counted on the sales of all shops, whichever job or cluster asks. Codes that the config
+    saves keep their values; labels they lack are appended.
+    """
+    tables = conf["tables"]
+    sites, forecast = (read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast"))
+    fitted = stage(weather.fit_weather_codes(read_table(spark, "daily_sales", tables), sites, forecast), "codes")
     path = conf.get("codes")
-    if not path:
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    write_parquet(weather.fit_weather_codes(rows, sites, forecast), path)
-    return spark.read.parquet(path)
+    if path:
+        try:
+            saved = spark.read.parquet(path)
+            new = stage(weather.extend_codes(saved, fitted), "new-codes")
+            count = new.count()
+            if count:
+                print(f"new weather labels: {count}")
+                new.select(*saved.columns).write.mode("append").parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            write_parquet(fitted, path)
+        fitted = spark.read.parquet(path)
+        assert_unique_key(fitted, ["WeatherDescriptor"])  # two jobs that append at once are found here
+    return sites, stage(weather.code_forecast(forecast, fitted), "forecast")
 
 
 def run_features(spark: SparkSession, conf: dict, args) -> None:
-    tables = conf["tables"]
-    base = read_table(spark, "base_table", tables)
+    base = read_table(spark, "base_table", conf["tables"])
     if args.report:
         assert_unique_key(base)
-    sites, forecast = (read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast"))
-    codes = _saved_codes(spark, conf, sales.drop_outliers(base), sites, forecast)
-    _write(pipeline.feature_table(base, sites, forecast, codes), args)
+    _write(pipeline.feature_table(base, *_coded_forecast(spark, conf)), args)
 
 
 def run_train(spark: SparkSession, conf: dict, args) -> None:
     tables = conf["tables"]
-    sites, forecast, holidays = (
-        read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast", "holidays")
-    )
+    _, clusters = _shop_tables(spark, tables)
     options = dict(conf.get("training", {}))
-    flagged = pipeline.flagged_sales(
-        _extract(spark, tables), options.pop("from"), options.pop("to"), args.cluster
+    # Names and categories of products, where the sales table has them, are carried along.
+    daily = read_table(spark, "daily_sales", tables, keep_extra=True)
+    rows = pipeline.training_sales(
+        daily, clusters, _quarters(spark, tables), options.pop("from"), options.pop("to"), args.cluster
     )
-    codes = _saved_codes(spark, conf, sales.drop_outliers(flagged), sites, forecast)
-    result = pipeline.train_cluster(flagged, sites, forecast, holidays, codes, **options)
+    flagged = stage(outliers.flag_outliers(stage(rows, "training-sales")), "flagged")
+    sites, coded = _coded_forecast(spark, conf)
+    result = pipeline.train_cluster(flagged, sites, coded, read_table(spark, "holidays", tables), **options)
     save_model(result.model, cluster_path(conf["models"], args.cluster))
     print(result.metrics.first().asDict())
     _write(result.scored, args)
 
 
 def run_score_clusters(spark: SparkSession, conf: dict, args) -> None:
+    """Scores by cluster; rows that no model takes are counted, and leave unless they are to be kept."""
     features, holidays, clusters = (
         read_table(spark, name, conf["tables"]) for name in ("feature_table", "holidays", "clusters")
     )
-    _write(
-        pipeline.score_clusters(features, holidays, clusters, load_models(conf["models"]), args.as_of), args
+    rows = stage(
+        dataset.scoring_input(features, holidays, clusters, args.as_of), "scoring", ["cluster"], rebalance=True
     )
+    by_cluster = load_models(conf["models"], conf.get("clusters", scoring.CLUSTERS))
+    for row in scoring.unrouted(rows, by_cluster).orderBy("cluster").toLocalIterator():
+        print(f"no model for cluster {row['cluster']}: {row['n_rows']} rows")
+    _write(pipeline.score_clusters(rows, by_cluster, keep_unrouted=args.keep_unrouted), args)
 
 
 def run_score_single(spark: SparkSession, conf: dict, args) -> None:
@@ -116,8 +155,26 @@ def run_score_single(spark: SparkSession, conf: dict, args) -> None:
     _write(scoring.score_single(features, load_model(conf["model"]), args.as_of), args)
 
 
+def run_compare(spark: SparkSession, conf: dict, args) -> None:
+    """The two models that the config names under ``compare`` on the feature table."""
+    tables = conf["tables"]
+    features, holidays = (read_table(spark, name, tables) for name in ("feature_table", "holidays"))
+    first, second = (load_model(path) for path in conf["compare"])
+    compared = pipeline.compare_fitted(features, holidays, first, second)
+    if args.report:
+        compared = stage(compared, "compared")
+        print(metrics.comparison_means(compared, ["first", "second"]).first().asDict())
+        groups = metrics.accuracy_by_group(compared, "description", ["first_acc", "second_acc"])
+        for row in groups.orderBy("description").toLocalIterator():
+            print(row.asDict())
+    _write(compared, args)
+
+
 JOBS = {
     "anomaly": run_anomaly,
+    "base": run_base,
+    "lag-features": run_lag_features,
+    "compare": run_compare,
     "features": run_features,
     "train": run_train,
     "score-clusters": run_score_clusters,
@@ -132,18 +189,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--sep", default=",")
-    parser.add_argument("--single-file", action="store_true")
+    parser.add_argument("--order-by", nargs="*", default=[], help="columns that order a CSV output")
+    parser.add_argument("--keep-unrouted", action="store_true", help="also write rows that no model takes")
     parser.add_argument("--partition-by", nargs="*", default=[])
     parser.add_argument("--as-of")
     parser.add_argument("--cluster", type=int, default=3)
     parser.add_argument("--report", action="store_true", help="also run the optional checks")
     args = parser.parse_args(argv)
     args.sep = args.sep.replace("\\t", "\t")
-    JOBS[args.job](build_session(), load_config(args.config), args)
+    spark = build_session()
+    try:
+        JOBS[args.job](spark, load_config(args.config), args)
+    finally:
+        drop_staged(spark)
 
 
 if __name__ == "__main__":
-    try:
-        main()
-    finally:
-        drop_staged(build_session())
+    main()

@@ -1,5 +1,6 @@
-"""The pipeline's jobs as plans over input frames. Sources and sinks are the
-caller's; only intermediate results are staged in the shared folder."""
+"""The pipeline's jobs as lazy plans over input frames. Sources, sinks and intermediate tables are the
+caller's: what a plan reads several times, or what should be small and of known size when it is
+joined, the caller stages first; each function names what that is."""
 
 from __future__ import annotations
 
@@ -8,26 +9,17 @@ from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from shelfcast.operators import dataset, models, outliers, sales, scoring
+from shelfcast.operators import dataset, lags, metrics, models, outliers, sales, scoring
 from shelfcast.operators.checks import GRAIN, project
 from shelfcast.operators.features import sales_features
-from shelfcast.operators.weather import add_weather, code_forecast, fit_weather_codes
-from shelfcast.sources.schemas import NOT_MODELLED, TRAINING_COLUMNS
-from shelfcast.sources.tables import stage
+from shelfcast.operators.weather import add_weather
+from shelfcast.sources.schemas import CLUSTER_MODEL_COLUMNS, NOT_MODELLED, SINGLE_MODEL_COLUMNS, TRAINING_COLUMNS
 
 ANOMALY_COLUMNS = ["shop_id", "t_date", "product_id", "qty", "outlier"]
 
 
-def launch_quarters(calendar: DataFrame, launches: DataFrame) -> DataFrame:
-    """The launch calendar, staged.
-
-    It is joined straight onto stored sales. Staged, its exact size is known when that join is
-    planned, so a small calendar is broadcast and the sales are not shuffled by date.
-    """
-    return stage(sales.launch_calendar(calendar, launches), "quarters")
-
-
 def sales_extract(
     daily_sales: DataFrame, totals: DataFrame, clusters: DataFrame, quarters: DataFrame
 ) -> DataFrame:
@@ -35,32 +27,33 @@ def sales_extract(
     return sales.enrich_sales(daily_sales, totals, clusters, quarters)
 
 
-def anomaly_table(daily_sales: DataFrame, quarters: DataFrame) -> DataFrame:
-    """The five-column outlier table.
+def anomaly_table(
+    daily_sales: DataFrame,
+    quarters: DataFrame,
+    totals: DataFrame | None = None,
+    clusters: DataFrame | None = None,
+) -> DataFrame:
+    """The five-column outlier table. Stage the sales and the quarters: both are read several times.
 
-    Totals and clusters are joined only where their columns are used: they hold one row per
-    shop and day and per shop, so leaving them out here changes no row.
+    With ``totals`` and ``clusters`` the extract's joins are made before the flags, so that a shop or
+    shop-day listed twice multiplies its sales as in the original. Where both tables are known to
+    be unique, as the job checks, leaving them out changes no row.
     """
-    return project(outliers.flag_outliers(sales.add_quarters(daily_sales, quarters)), ANOMALY_COLUMNS)
+    rows = sales.add_quarters(daily_sales, quarters)
+    if totals is not None and clusters is not None:
+        rows = sales.add_shop_data(rows, totals, clusters)
+    return project(outliers.flag_outliers(rows), ANOMALY_COLUMNS)
 
 
 def base_table(
     daily_sales: DataFrame, totals: DataFrame, clusters: DataFrame, quarters: DataFrame
 ) -> DataFrame:
-    """The extract with range figures and outlier flag; shop data comes after the flags."""
-    flagged = outliers.flag_outliers(sales.add_quarters(daily_sales, quarters))
-    return sales.add_shop_data(flagged, totals, clusters)
-
-
-def coded_forecast(
-    rows: DataFrame, sites: DataFrame, forecast: DataFrame, codes: DataFrame | None = None
-) -> DataFrame:
-    """Forecasts with codes and bins, staged for the same reason as ``launch_quarters``.
+    """The extract with range figures and outlier flag; shop data comes after the flags.
 
-    Without saved ``codes`` they are counted on ``rows``.
+    Stage the sales and the quarters.
     """
-    codes = fit_weather_codes(rows, sites, forecast) if codes is None else codes
-    return stage(code_forecast(forecast, codes), "forecast")
+    flagged = outliers.flag_outliers(sales.add_quarters(daily_sales, quarters))
+    return sales.add_shop_data(flagged, totals, clusters)
 
 
 def join_anomalies(extract: DataFrame, anomalies: DataFrame) -> DataFrame:
@@ -72,59 +65,80 @@ def join_anomalies(extract: DataFrame, anomalies: DataFrame) -> DataFrame:
     return extract.join(flags, ["shop_id", "product_id", "t_date"], "left").select(*extract.columns, "outlier")
 
 
-def feature_table(
-    base: DataFrame, sites: DataFrame, forecast: DataFrame, codes: DataFrame | None = None
-) -> DataFrame:
-    """The feature table of a stored base table, with the coded forecasts staged."""
-    rows = sales.drop_outliers(base).dropna(subset=GRAIN)
-    return dataset.feature_table(base, sites, coded_forecast(rows, sites, forecast, codes))
+def kept_sales(flagged: DataFrame) -> DataFrame:
+    """The rows that features are made of: no outliers, no missing key."""
+    return sales.drop_outliers(flagged).dropna(subset=GRAIN)
 
 
-def training_table(
-    flagged: DataFrame,
-    sites: DataFrame,
-    forecast: DataFrame,
-    holidays: DataFrame,
-    codes: DataFrame | None = None,
-) -> DataFrame:
-    """Flagged sales of one cluster or all, as a table ready for ``train_and_evaluate``."""
-    kept = dataset.add_new_qty(sales.drop_outliers(flagged)).dropna(subset=GRAIN)
-    coded = coded_forecast(kept, sites, forecast, codes)
-    return dataset.add_holidays(add_weather(sales_features(kept, "new_qty"), sites, coded), holidays)
+def feature_table(base: DataFrame, sites: DataFrame, coded: DataFrame) -> DataFrame:
+    """The feature table of a base table. Stage the coded forecasts (``weather.code_forecast``)."""
+    return dataset.feature_table(base, sites, coded)
 
 
-def flagged_sales(
-    extract: DataFrame, sales_from: str | dt.date, sales_to: str | dt.date, cluster: int | None = None
+def training_sales(
+    daily_sales: DataFrame,
+    clusters: DataFrame,
+    quarters: DataFrame,
+    sales_from: str | dt.date,
+    sales_to: str | dt.date,
+    cluster: int | None = None,
 ) -> DataFrame:
-    """Outlier flags of a date range, of one cluster if given; staged for codes and features."""
-    return stage(outliers.flag_outliers(sales.sales_between(extract, sales_from, sales_to, cluster)), "flagged")
+    """Sales of a date range, of one cluster if given, with launch names: what the flags read three times.
+
+    Shop-day totals are in no model input and are not joined.
+    """
+    rows = sales.add_clusters(daily_sales, clusters)
+    return sales.add_quarters(sales.sales_between(rows, sales_from, sales_to, cluster), quarters)
+
+
+def training_table(flagged: DataFrame, sites: DataFrame, coded: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Flagged sales of one cluster or all, as a table ready for ``train_and_evaluate``.
+
+    Stage the coded forecasts.
+    """
+    kept = dataset.add_new_qty(kept_sales(flagged))
+    return dataset.add_holidays(add_weather(sales_features(kept, "new_qty"), sites, coded), holidays)
 
 
 def train_cluster(
-    flagged: DataFrame,
-    sites: DataFrame,
-    forecast: DataFrame,
-    holidays: DataFrame,
-    codes: DataFrame | None = None,
-    **options,
+    flagged: DataFrame, sites: DataFrame, coded: DataFrame, holidays: DataFrame, **options
 ) -> models.Evaluation:
-    """A training run on flagged sales: features, weather, holidays, model, evaluation.
+    """A training run on staged flagged sales: features, weather, holidays, model, evaluation.
 
     ``options`` go to ``train_and_evaluate`` (dates, number of trees and so on). Columns that
     the sales do not carry, such as product names, are left out of the training table.
     """
-    table = training_table(flagged, sites, forecast, holidays, codes)
+    table = training_table(flagged, sites, coded, holidays)
     features = [name for name in TRAINING_COLUMNS if name in table.columns]
     return models.train_and_evaluate(table, features, NOT_MODELLED, "new_qty", **options)
 
 
 def score_clusters(
-    features: DataFrame,
-    holidays: DataFrame,
-    clusters: DataFrame,
-    by_cluster: Mapping[int, PipelineModel],
-    as_of: str | dt.date | None = None,
+    rows: DataFrame, by_cluster: Mapping[int, PipelineModel], *, keep_unrouted: bool = False
 ) -> DataFrame:
-    """Scores of all clusters from the run date on. The input is staged by cluster."""
-    rows = dataset.scoring_input(features, holidays, clusters, as_of)
-    return scoring.score_by_cluster(stage(rows, "scoring", ["cluster"], rebalance=True), by_cluster)
+    """Scores of all clusters. Stage the rows (``dataset.scoring_input``) by cluster."""
+    return scoring.score_by_cluster(rows, by_cluster, keep_unrouted=keep_unrouted)
+
+
+def lag_feature_table(daily_sales: DataFrame, totals: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Inputs of the single model; the financial month is taken to be the calendar month."""
+    table = lags.lag_features(daily_sales).withColumns(
+        {"week_no_year": F.weekofyear("t_date"), "financial_month_no": F.month("t_date")}
+    )
+    return project(sales.add_shop_data(table, totals, clusters), [*GRAIN, "qty", *SINGLE_MODEL_COLUMNS[2:]])
+
+
+def compare_fitted(
+    features: DataFrame, holidays: DataFrame, first: PipelineModel, second: PipelineModel
+) -> DataFrame:
+    """Two fitted models side by side on the rows of a feature table, errors and accuracy per row.
+
+    As in scoring, no row counts as out of range and a missing school holiday as none.
+    """
+    rows = dataset.add_holidays(features, holidays).withColumns(
+        {"out_of_range": F.lit(0), "school_holiday": F.coalesce("school_holiday", F.lit(0))}
+    )
+    columns = dict.fromkeys([*GRAIN, "description", "qty", "new_qty", *CLUSTER_MODEL_COLUMNS])
+    rows = models.predict(first, project(rows, list(columns)), "first_prediction")
+    rows = models.predict(second, rows, "second_prediction")
+    return metrics.compare_models(rows, {"first": "first_prediction", "second": "second_prediction"})

@@ -20,5 +20,5 @@ def cluster_path(root: str, cluster: int) -> str:
 
 
 def load_models(root: str, clusters: Iterable[int] = range(6)) -> dict[int, PipelineModel]:
-    """The models of all clusters, by cluster id."""
+    """The models of the given clusters, by cluster id; a missing one raises."""
     return {cluster: load_model(cluster_path(root, cluster)) for cluster in clusters}

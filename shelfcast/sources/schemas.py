@@ -75,7 +75,7 @@ TABLES: dict[str, StructType] = {
 
 FEATURE_COLUMNS = FEATURE_TABLE.names
 
-# Model inputs of the per-cluster models, in their fixed order.
+# The model inputs of the per-cluster models, in their order.
 CLUSTER_MODEL_COLUMNS = [
     "shop_id", "product_id", "weekend_flag", "rolling_week_sales", "weekly_trend", "same_last_4_days",
     "same_last_6_days", "daily_trend", "out_of_range", "rolling_4_days", "rolling_6_days", "day_of_week_no",
@@ -83,7 +83,7 @@ CLUSTER_MODEL_COLUMNS = [
     "school_holiday", "Weather_Code", "temp_code",
 ]
 
-# Model inputs of the single model on lagged features, in their fixed order.
+# The model inputs of the single model on lagged features, in their order.
 SINGLE_MODEL_COLUMNS = [
     "shop_id", "product_id", "day_of_week_no", "week_no_year", "financial_month_no", "weekend_flag",
     "Same_day_1_week_ago", "Same_day_2_week_ago", "Same_day_3_week_ago", "Same_day_4_week_ago",
@@ -92,12 +92,8 @@ SINGLE_MODEL_COLUMNS = [
     "rolling_five_day_median", "rolling_seven_day_median", "actual_retail_sales_net", "cluster",
 ]
 
-# Columns a training run carries along and the ones it takes out again before fitting.
-TRAINING_COLUMNS = [
-    "shop_id", "shop_name", "product_id", "t_date", "weekend_flag", "qty", "rolling_week_sales",
-    "weekly_trend", "same_last_4_days", "same_last_6_days", "daily_trend", "out_of_range",
-    "in_range_mean", "outlier", "product_name", "category_desc", "rolling_4_days", "rolling_6_days",
-    "day_of_week_no", "new_qty", "rolling_4_max", "rolling_6_max", "rolling_4_min", "rolling_6_min",
-    "bank_holiday_flag", "school_holiday", "Weather_Code", "temp_code",
+# What a training run carries along beside the model's inputs.
+NOT_MODELLED = [
+    "t_date", "qty", "new_qty", "outlier", "in_range_mean", "shop_name", "product_name", "category_desc",
 ]
-NOT_MODELLED = ["qty", "t_date", "in_range_mean", "outlier", "product_name", "category_desc", "new_qty", "shop_name"]
+TRAINING_COLUMNS = [*CLUSTER_MODEL_COLUMNS, *NOT_MODELLED]

@@ -79,17 +79,22 @@ def read_table(
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = "\t") -> DataFrame:
-    """Read a delimited file with a header; the schema is declared, never inferred."""
-    df = spark.read.csv(path, header=True, sep=sep, schema=schema, enforceSchema=False)
+    """Read a delimited file with a header; the schema is declared, never inferred.
+
+    A value that does not fit its type fails the read: as a NULL it would later drop its row.
+    """
+    df = spark.read.csv(path, header=True, sep=sep, schema=schema, enforceSchema=False, mode="FAILFAST")
     return conform(df, schema)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", *, single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, sep: str = ",", order_by: Iterable[str] = ()) -> None:
     """Write delimited part files with a header.
 
-    ``single_file`` sends everything through one task; it is meant for small exports only.
+    With ``order_by`` the rows are in order within the files and from one file to the next: a range
+    sort, so no task holds more than its share.
     """
-    out = df.coalesce(1) if single_file else df
+    order_by = list(order_by)
+    out = df.orderBy(*order_by) if order_by else df
     out.write.mode("overwrite").csv(path, header=True, sep=sep)
 
 
@@ -123,16 +128,12 @@ def save_series_table(df: DataFrame, table: str, buckets: int) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one only where it names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="shelfcast-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """The folder the cluster names in ``spark.checkpoint.dir``; where it names none, one in the warehouse.
+
+    Both are storage that all executors share. The answer is the same all through a session.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def _staging_folder(spark: SparkSession) -> str:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast import standins as fx
+from shelfcast.operators import models
 from shelfcast.plans import jobs, pipeline
 from shelfcast.sources import load_model, save_model
+from shelfcast.sources.schemas import SINGLE_MODEL_COLUMNS
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,11 +26,13 @@ def config(spark, tmp_path_factory):
                  "weather_forecast", "holidays"):
         getattr(fx, name)(spark, SF).write.mode("overwrite").parquet(f"{root}/{name}")
         tables[name] = {"format": "parquet", "path": f"{root}/{name}"}
-    for name in ("base_table", "feature_table"):
+    for name in ("base_table", "feature_table", "lag_feature_table"):
         tables[name] = {"path": f"{root}/{name}"}
     conf = {
         "tables": tables,
         "models": f"{root}/models",
+        "model": f"{root}/single",
+        "compare": [f"{root}/models/cluster_3", f"{root}/models/cluster_0"],
         "codes": f"{root}/codes",
         "training": {
             "from": "19950101", "to": "20010101", "start": "19960101", "train_end": "20000101",
@@ -48,15 +55,9 @@ def test_all_jobs(spark, config, capsys):
     jobs.main(["anomaly", "--config", path, "--out", f"{root}/csv", "--as-of", "20011105", "--format", "csv"])
     assert spark.read.csv(f"{root}/csv", header=True).count() == anomalies.count()
 
-    daily, totals, clusters, calendar, launches = (
-        read(f"{root}/{name}")
-        for name in ("daily_sales", "shop_day_totals", "clusters", "calendar", "launch_windows")
-    )
-    quarters = pipeline.launch_quarters(calendar, launches)
-    extract = pipeline.sales_extract(daily, totals, clusters, quarters)
-    base = pipeline.join_anomalies(extract, pipeline.anomaly_table(daily, quarters))
-    base.write.mode("overwrite").parquet(f"{root}/base_table")
-    assert base.count() == extract.count()
+    jobs.main(["base", "--config", path, "--out", f"{root}/base_table"])
+    base = read(f"{root}/base_table")
+    assert base.columns[-3:] == ["actual_retail_sales_net", "cluster", "description"] and base.count() > 0
 
     jobs.main(["features", "--config", path, "--out", f"{root}/feature_table", "--report"])
     features = read(f"{root}/feature_table")
@@ -69,12 +70,64 @@ def test_all_jobs(spark, config, capsys):
     assert {"predictions", "MAPE", "Accuracy"} <= set(scored.columns) and scored.count() > 0
     assert "MAPE_score" in capsys.readouterr().out
 
+    # A second run finds no new labels; a label that the saved codes lack is appended.
+    saved = {r.WeatherDescriptor: r.Weather_Code for r in codes.collect()}
+    codes.where("Weather_Code > 0").write.mode("overwrite").parquet(f"{root}/fewer")
+    spark.read.parquet(f"{root}/fewer").write.mode("overwrite").parquet(f"{root}/codes")
+    jobs.main(["features", "--config", path, "--out", f"{root}/again"])
+    extended = {r.WeatherDescriptor: r.Weather_Code for r in read(f"{root}/codes").collect()}
+    first = next(label for label, code in saved.items() if code == 0)
+    assert extended == saved | {first: max(saved.values()) + 1}
+    assert "new weather labels: 1" in capsys.readouterr().out
+
     model = load_model(f"{root}/models/cluster_3")
     for cluster in (0, 1, 2, 4, 5):
         save_model(model, f"{root}/models/cluster_{cluster}")
     jobs.main(["score-clusters", "--config", path, "--out", f"{root}/predictions", "--as-of", "20010601",
-               "--format", "csv", "--sep", "\\t"])
-    predictions = spark.read.csv(f"{root}/predictions", header=True, sep="\t")
-    routed = features.where("t_date >= '2001-06-01' AND cluster IN (0, 1, 2, 3, 4, 5)")
+               "--format", "csv", "--sep", "\\t", "--order-by", "shop_id", "product_id", "t_date"])
+    assert "no model for cluster 6" in capsys.readouterr().out
+    predictions = spark.read.csv(f"{root}/predictions", header=True, sep="\t", inferSchema=True)
+    scoring_rows = features.where("t_date >= '2001-06-01'")
+    routed = scoring_rows.where("cluster IN (0, 1, 2, 3, 4, 5)")
     assert predictions.count() == routed.count() > 0
     assert predictions.columns[-2:] == ["cluster", "prediction"] and len(predictions.columns) == 23
+    files = sorted(glob.glob(f"{root}/predictions/part-*.csv"))
+    keys = [tuple(map(int, line.split("\t")[:2])) for file in files for line in open(file).read().splitlines()[1:]]
+    assert keys == sorted(keys)
+    jobs.main(["score-clusters", "--config", path, "--out", f"{root}/all", "--as-of", "20010601", "--keep-unrouted"])
+    everything = read(f"{root}/all")
+    assert everything.count() == scoring_rows.count() > routed.count()
+    assert everything.where("prediction IS NULL").count() == scoring_rows.count() - routed.count()
+
+    jobs.main(["lag-features", "--config", path, "--out", f"{root}/lag_feature_table"])
+    lagged = read(f"{root}/lag_feature_table")
+    save_model(models.train(lagged, SINGLE_MODEL_COLUMNS, "qty", trees=2), f"{root}/single")
+    jobs.main(["score-single", "--config", path, "--out", f"{root}/single_scores", "--as-of", "20010601"])
+    assert read(f"{root}/single_scores").count() == lagged.where("t_date >= '2001-06-01'").count() > 0
+
+    jobs.main(["compare", "--config", path, "--out", f"{root}/compared", "--report"])
+    assert read(f"{root}/compared").count() == features.count()
+    assert "first_MAPE" in capsys.readouterr().out
+
+    staged = f"{spark.conf.get('spark.checkpoint.dir')}/{spark.sparkContext.applicationId}"
+    assert not os.path.exists(staged) or not os.listdir(staged)
+
+
+def test_overlapping_launches_stop_the_job(spark, config, tmp_path):
+    root, _, conf = config
+    windows = spark.read.parquet(f"{root}/launch_windows")
+    windows.unionByName(windows.limit(1).withColumn("launch_name", F.lit("double"))).write.parquet(f"{tmp_path}/windows")
+    tables = conf["tables"] | {"launch_windows": {"path": f"{tmp_path}/windows"}}
+    (tmp_path / "conf.json").write_text(json.dumps(conf | {"tables": tables}))
+    with pytest.raises(ValueError, match="launches overlap on .*double"):
+        jobs.main(["anomaly", "--config", f"{tmp_path}/conf.json", "--out", f"{tmp_path}/out", "--as-of", "20011105"])
+
+
+def test_shops_listed_twice_stop_the_job(spark, config, tmp_path):
+    root, _, conf = config
+    shops = spark.read.parquet(f"{root}/clusters")
+    shops.unionByName(shops.limit(1)).write.parquet(f"{tmp_path}/clusters")
+    tables = conf["tables"] | {"clusters": {"path": f"{tmp_path}/clusters"}}
+    (tmp_path / "conf.json").write_text(json.dumps(conf | {"tables": tables}))
+    with pytest.raises(ValueError, match="duplicate key"):
+        jobs.main(["base", "--config", f"{tmp_path}/conf.json", "--out", f"{tmp_path}/out"])

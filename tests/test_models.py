@@ -47,12 +47,22 @@ def model(cluster_rows):
 def test_fill_and_marks(spark):
     df = spark.createDataFrame([(1.0, 1, None), (None, 2, None), (5.0, 3, None), (9.0, 4, None)], "a double, b int, c double")
     stages, outputs = models.impute_stages(df, ["a", "b", "c"])
-    assert outputs == ["_f_a_num", "_f_b_num", "_f_c_num", "_f_a_missing"]
+    assert outputs == [f"_f_{name}_{kind}" for kind in ("num", "missing") for name in "abc"]
     fitted = Pipeline(stages=stages).fit(df)
     got = [tuple(r) for r in fitted.transform(df).select(*outputs).collect()]
-    assert got == [(1.0, 1.0, 0.0, 0.0), (5.0, 2.0, 0.0, 1.0), (5.0, 3.0, 0.0, 0.0), (9.0, 4.0, 0.0, 0.0)]
+    assert got == [(1, 1, 0, 0, 0, 1), (5, 2, 0, 1, 0, 1), (5, 3, 0, 0, 0, 1), (9, 4, 0, 0, 0, 1)]
+    # A gap in a column that was complete in training is filled with its median and marked too.
     later = spark.createDataFrame([(None, None, 2.0)], "a double, b int, c double")
-    assert tuple(fitted.transform(later).select(*outputs).first()) == (5.0, 2.5, 2.0, 1.0)
+    assert tuple(fitted.transform(later).select(*outputs).first()) == (5, 2, 2, 1, 1, 0)
+
+
+def test_rows_without_a_model_can_stay(cluster_rows, model):
+    rows = cluster_rows.where("t_date = '2024-01-01'")
+    got = scoring.score_by_cluster(rows, {0: model, 3: model}, keep_unrouted=True).collect()
+    assert len(got) == 8 and {r.cluster for r in got if r.prediction is not None} == {0, 3}
+    assert {r.cluster: r.n_rows for r in scoring.unrouted(rows, {0: model, 3: model}).collect()} == {
+        1: 1, 2: 1, 4: 1, 5: 1, 6: 1, None: 1,
+    }
 
 
 def test_predict_keeps_columns_and_learns(cluster_rows, model):
@@ -62,7 +72,7 @@ def test_predict_keeps_columns_and_learns(cluster_rows, model):
     assert metrics.forecast_r2(got, "new_qty", "predictions").first().r2 > 0.5
     importances = models.feature_importances(model, cluster_rows.sparkSession)
     assert importances.orderBy(F.desc("importance")).first().feature == "rolling_4_days"
-    assert importances.count() == len(CLUSTER_MODEL_COLUMNS) + 1
+    assert importances.count() == 2 * len(CLUSTER_MODEL_COLUMNS)
 
 
 def test_routing_and_storage(cluster_rows, model, tmp_path):

@@ -24,8 +24,21 @@ def test_query_matches_sql(spark, duck, name):
     assert len(got) > 0
 
 
-@pytest.mark.parametrize("name", ["score_single"])
-def test_model_query_runs(spark, name):
-    df = queries()[name](spark, SF)
-    assert df.count() > 0
-    assert df.where("predictions IS NULL").count() == 0
+def test_fitted_models_beat_the_mean(spark):
+    """The registered training run as it is: R2 on the test rows, and the scores from the predictions."""
+    rows = queries()["train_and_evaluate"](spark, SF).toPandas()
+    assert len(rows) > 0 and rows.predictions.notna().all()
+    error = ((rows.new_qty - rows.predictions) ** 2).sum()
+    assert error < ((rows.new_qty - rows.new_qty.mean()) ** 2).sum()
+    assert (rows.MAPE - (rows.new_qty - rows.predictions).abs() / rows.new_qty).abs().max() < 1e-9
+
+
+def test_importances_add_up(spark):
+    found = queries()["train_model"](spark, SF).toPandas()
+    assert found.feature.is_unique and abs(found.importance.sum() - 1) < 1e-6
+
+
+def test_two_fitted_models(spark):
+    rows = queries()["compare_fitted"](spark, SF).toPandas()
+    assert len(rows) == queries()["feature_table"](spark, SF).count()
+    assert rows[["first_prediction", "second_prediction"]].notna().all().all()

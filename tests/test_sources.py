@@ -53,10 +53,9 @@ def test_read_table_formats(spark, tmp_path, day):
 
 def test_csv_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b", 2.0), (2, None, 3.5)], "id long, text string, x double")
-    write_csv(df, f"{tmp_path}/out", single_file=True)
-    files = list((tmp_path / "out").glob("*.csv"))
-    assert len(files) == 1
-    assert files[0].read_text().splitlines() == ["id,text,x", '1,"a,b",2.0', "2,,3.5"]
+    write_csv(df, f"{tmp_path}/out")
+    lines = {line for file in (tmp_path / "out").glob("*.csv") for line in file.read_text().splitlines()}
+    assert lines == {"id,text,x", '1,"a,b",2.0', "2,,3.5"}
     back = read_delimited(spark, f"{tmp_path}/out", df.schema, ",")
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     write_csv(df, f"{tmp_path}/tab", "\t")
@@ -65,6 +64,22 @@ def test_csv_sinks(spark, tmp_path):
     )
 
 
+def test_csv_in_order(spark, tmp_path):
+    df = spark.range(1000).selectExpr("pmod(xxhash64(id), 10000) AS id", "id AS x").repartition(7)
+    write_csv(df, f"{tmp_path}/out", order_by=["id", "x"])
+    files = sorted((tmp_path / "out").glob("part-*.csv"))
+    ids = [int(line.split(",")[0]) for file in files for line in file.read_text().splitlines()[1:]]
+    assert len(ids) == 1000 and ids == sorted(ids)
+
+
+@pytest.mark.parametrize("line", ["2,oops,y", "bad,3,z"])
+def test_malformed_csv_fails(spark, tmp_path, line):
+    (tmp_path / "in.csv").write_text(f"id,x,text\n1,2.5,a\n{line}\n")
+    schema = spark.createDataFrame([], "id long, x double, text string").schema
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|[Mm]alformed"):
+        read_delimited(spark, f"{tmp_path}/in.csv", schema, ",").collect()
+
+
 def test_stage_uses_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == folder
@@ -78,8 +93,11 @@ def test_stage_uses_the_named_folder(spark):
 def test_staged_files_are_removed(spark, tmp_path):
     from shelfcast.sources import drop_staged
 
-    staged = stage(spark.range(5).toDF("id"), "gone")
-    files = [path.removeprefix("file://") for path in staged.inputFiles()]
+    spark.sparkContext.setCheckpointDir(shared_dir(spark))  # as a fit does
+    files = []
+    for label in ("first", "second"):
+        staged = stage(spark.range(5).toDF("id"), label)
+        files += [path.removeprefix("file://") for path in staged.inputFiles()]
     assert files and all(os.path.exists(path) for path in files)
     drop_staged(spark)
     assert not any(os.path.exists(path) for path in files)

@@ -112,3 +112,20 @@ def test_split(spark, day):
     train, test = dataset.split_by_date(df, day(1), day(4), day(7))
     assert (train.count(), test.count()) == (3, 3)
     assert dataset.split_by_date(df, day(1), day(4), day(7), closed=True)[1].count() == 4
+
+
+def test_many_labels_of_one_frequency(spark):
+    """A wide vocabulary is numbered in many ranges, in the right order."""
+    counts = spark.range(20_000).selectExpr("concat('l', lpad(id, 6, '0')) AS label", "IF(id % 1000 = 0, id + 2, 1) AS n_rows")
+    ranked = weather.rank_labels(counts, "label")
+    got = {r.label: r.code for r in ranked.collect()}
+    rows = sorted((-r.n_rows, r.label) for r in counts.collect())
+    assert got == {label: float(i) for i, (_, label) in enumerate(rows)}
+    assert "rangepartitioning" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_saved_codes_keep_their_values(spark):
+    saved = spark.createDataFrame([("sun", 9, 0.0), ("rain", 4, 3.0)], "WeatherDescriptor string, n_rows long, Weather_Code double")
+    fitted = spark.createDataFrame([("fog", 8, 1.0), ("sun", 2, 2.0), ("hail", 8, 5.0)], saved.schema)
+    got = {r.WeatherDescriptor: r.Weather_Code for r in weather.extend_codes(saved, fitted).collect()}
+    assert got == {"fog": 4.0, "hail": 5.0}
