@@ -432,10 +432,8 @@ def _cluster_models(spark: SparkSession, d: str):
     filled = table.withColumn("out_of_range", F.lit(0))
     history = filled.where((F.col("t_date") < day) & F.col("cluster").isin(*scoring.CLUSTERS))
     present = {row["cluster"] for row in history.select("cluster").distinct().collect()}  # of six at most
-    by_cluster = {
-        cluster: models.train(history.where(F.col("cluster") == cluster), CLUSTER_MODEL_COLUMNS, "new_qty")
-        for cluster in sorted(present)
-    }
+    parts = {cluster: history.where(F.col("cluster") == cluster) for cluster in present}
+    by_cluster = models.train_each(parts, CLUSTER_MODEL_COLUMNS, "new_qty")
     rows = dataset.scoring_input(
         table.drop("school_holiday", "shop_name"), fx.holidays(spark, d), fx.clusters(spark, d), fx.SCORING_AS_OF
     )
