@@ -1,6 +1,6 @@
 """Line dedup by a deletion-neighbourhood join.
 
-A line is its sequence of words, A-Z lowered. Two lines are near if one word inserted, deleted or replaced
+A line is its sequence of words in lower case. Two lines are near if one word inserted, deleted or replaced
 turns one into the other. Emit for each line the sequences that deleting one word leaves, and the line
 itself: near lines, and only these, share one of them at the same place, or have one equal to the other
 line. A sequence is keyed by its length and two sums of hashes of (word, position), so all the variants
@@ -20,31 +20,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import bounded, lower_ascii, stage
+from shelfcast.llm.common import bounded, stage
 
 MIN_WORDS = 8
 BROADCAST_ROWS = 250_000
 NONE = -1
 
 
+WHITE = r"[\x20\x09-\x0D]+"
+
+
 def line_words(line: Column) -> Column:
-    """The words of a line, A-Z lowered."""
-    return F.filter(F.split(lower_ascii(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """The words of a line in lower case."""
+    return F.array_remove(F.split(F.lower(line), WHITE), "")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Every line with a word: its place (id, hash of the text, number), key and words."""
+def _raw_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every line with a word: (at, line)."""
     text = F.col(f"`{text_col}`")
     rows = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("no", "line")
+        F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(text).alias("th"),
+        # The outer form: for the inner one Spark infers a filter that splits the text once more.
+        F.posexplode_outer(F.split(text, "\n")).alias("no", "line"),
     )
-    words = rows.select("id", "th", "no", line_words(F.col("line")).alias("words"))
+    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.select(_place(F.col("id"), F.col("th"), F.col("no")).alias("at"), "line")
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every line with a word: (at, key, n, halves); the only pass that looks at all the words."""
+    words = _raw_lines(docs, id_col, text_col).select("at", line_words(F.col("line")).alias("words"))
     return words.select(
-        _place(F.col("id"), F.col("th"), F.col("no")).alias("at"),
+        "at",
         F.unhex(F.md5(F.array_join("words", " "))).alias("key"),
         F.size("words").alias("n"),
-        "words",
-    ).where("n > 0")
+        F.when(F.size("words") >= MIN_WORDS, _halves()).alias("halves"),
+    )
 
 
 def _place(id_: Column, text_hash: Column, number: Column) -> Column:
@@ -56,12 +68,12 @@ def _place(id_: Column, text_hash: Column, number: Column) -> Column:
 
 def _halves() -> Column:
     """Keys of the halves that a line shares with any near line: by the length of the shorter of the two."""
-    keys = []
+    keys, n = [], F.size("words")
     for less in (0, 1):
-        short = F.col("n") - less
+        short = n - less
         half = F.floor(short / 2).cast("int")
         keys.append(F.xxhash64(F.lit("front"), short, F.slice("words", F.lit(1), half)))
-        keys.append(F.xxhash64(F.lit("back"), short, F.slice("words", F.col("n") - half + 1, half)))
+        keys.append(F.xxhash64(F.lit("back"), short, F.slice("words", n - half + 1, half)))
     return F.array(*keys)
 
 
@@ -102,13 +114,16 @@ def _without(words: Column, pos: Column) -> Column:
     return F.when(pos == NONE, words).otherwise(cut)
 
 
-def _neighbours(distinct: DataFrame, lines: DataFrame) -> DataFrame:
+def _neighbours(distinct: DataFrame, raw: DataFrame) -> DataFrame:
     """(key, near): the earliest place of a line that is near the line with this key."""
     halves = distinct.where(F.col("n") >= MIN_WORDS).select("key", "at", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").count().where("count > 1").select("half")
     wanted = stage(halves.join(shared, "half").select("key", "at").distinct(), "line-candidates")
     texts = stage(
-        lines.join(bounded(wanted, BROADCAST_ROWS), ["key", "at"], "left_semi").select("key", "at", "n", "words"),
+        raw.join(bounded(wanted, BROADCAST_ROWS), "at")
+        .select("key", "at", line_words(F.col("line")).alias("words"))
+        .select("key", "at", F.size("words").alias("n"), "words")
+        .dropDuplicates(["key"]),  # of repeated rows one
         "line-texts",
     )
     variants = stage(_variants(texts), "line-variants")
@@ -150,15 +165,13 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     row. Rows that repeat both id and text are one document and get equal results. Columns other than
     the two named are not read; an empty table gives an empty result.
     """
-    lines = _lines(docs, id_col, text_col)
-    halves = F.when(F.col("n") >= MIN_WORDS, _halves())
+    lines = stage(_lines(docs, id_col, text_col), "lines")
     distinct = (
-        lines.select("key", "at", "n", halves.alias("halves"))
-        .groupBy("key")
+        lines.groupBy("key")
         .agg(F.min("at").alias("at"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves"))
     )
     distinct = stage(distinct, "line-distinct")
-    near = _neighbours(distinct, lines)
+    near = _neighbours(distinct, _raw_lines(docs, id_col, text_col))
     first = stage(
         distinct.select("key", "at").join(near, "key", "left").select("key", F.least("at", "near").alias("earliest")),
         "line-first",

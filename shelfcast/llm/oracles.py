@@ -34,7 +34,7 @@ WITH raw AS (
     FROM documents WHERE text IS NOT NULL),
 lines AS (
     SELECT doc_id, line_no,
-           list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           list_filter(string_split_regex(lower(line),
                                           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
     FROM raw),
 placed AS (

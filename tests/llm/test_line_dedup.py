@@ -7,8 +7,7 @@ from shelfcast.llm import line_dedup
 
 
 def words(line):
-    lower = re.sub("[A-Z]", lambda m: m[0].lower(), line)
-    return tuple(re.findall(r"[^\x20\x09-\x0D]+", lower))
+    return tuple(re.findall(r"[^\x20\x09-\x0D]+", line.lower()))
 
 
 def near(a, b):
