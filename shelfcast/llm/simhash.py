@@ -200,14 +200,8 @@ def links(prints: DataFrame, max_members: int = MAX_MEMBERS) -> DataFrame:
     return found.unionByName(far)
 
 
-def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """The component of every row: (id, print, component_id), with ``carry`` also (row, doc).
-
-    ``component_id`` is the least id reachable over links, the row's own included; null where no row of
-    the component has an id. Null and empty texts have fingerprint 0 and link like any other. Repeated
-    rows are all returned. Only the two named columns are read (all, into the struct ``doc``, with
-    ``carry``). An empty table gives an empty result.
-    """
+def _group(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (id, print; with ``carry`` also row and doc), and (print, component, component_id)."""
     text_batches(docs.sparkSession)
     more = [F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")] if carry else []
     marked = docs.select(F.col(f"`{id_col}`").alias(id_col), _fingerprint(F.col(f"`{text_col}`")).alias("print"), *more)
@@ -217,8 +211,18 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     member = components(found).withColumnRenamed("node", "print")
     linked = prints.join(member, "print", "left").withColumn("component", F.coalesce("component", "print"))
     least = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_print = stage(linked.join(least, "component").select("print", "component", "component_id"), "simhash-components")
-    return marked.join(of_print, "print")
+    return marked, stage(linked.join(least, "component").select("print", "component", "component_id"), "simhash-components")
+
+
+def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The component of every row: (id, print, component_id).
+
+    ``component_id`` is the least id reachable over links, the row's own included; null where no row of
+    the component has an id. Null and empty texts have fingerprint 0 and link like any other. Repeated
+    rows are all returned. Only the two named columns are read. An empty table gives an empty result.
+    """
+    marked, found = _group(docs, id_col, text_col, carry=False)
+    return marked.join(found, "print").select(id_col, "print", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,8 +233,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, that with the least id, and of its repeats one; columns of ``docs``."""
-    rows = group(docs, id_col, text_col, carry=True)
+    marked, found = _group(docs, id_col, text_col, carry=True)
     # Ids in order, nulls last.
     order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("row").alias("r"))
-    first = stage(rows.groupBy("component").agg(F.min(order).alias("o")).select("o.r"), "simhash-kept")
-    return rows.join(first.withColumnRenamed("r", "row"), "row", "left_semi").select("doc.*")
+    rows = marked.select(id_col, "print", "row").join(found, "print")
+    kept = rows.groupBy("component").agg(F.min(order).alias("o")).select(F.col("o.r").alias("row"))
+    return marked.join(stage(kept, "simhash-kept"), "row", "left_semi").select("doc.*")
