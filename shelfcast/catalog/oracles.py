@@ -17,8 +17,11 @@ VIEWS = {
                CAST(isodow(t_date) AS VARCHAR) AS week_day_description,
                CAST(CASE WHEN month(t_date) = 12 AND day(t_date) = 25 THEN 1 ELSE 0 END AS INTEGER)
                    AS bank_holiday_flag
-        FROM (SELECT l_suppkey % 25 AS shop_id, l_partkey // 250 AS product_id,
-                     CAST(l_shipdate AS DATE) AS t_date, sum(l_quantity) AS qty
+        FROM (SELECT l_suppkey // 4 AS shop_id,
+                     CASE WHEN l_partkey % 64 = 7 THEN 8 ELSE l_partkey % 8 END AS product_id,
+                     CAST(l_shipdate AS DATE) AS t_date,
+                     sum(CASE WHEN l_partkey % 8 = 0 THEN ceil(l_quantity / 25)
+                              WHEN l_linenumber = 7 THEN l_quantity * 10 ELSE l_quantity END) AS qty
               FROM lineitem GROUP BY 1, 2, 3)""",
     "fx_calendar": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem",
     "fx_launch": """
@@ -26,28 +29,27 @@ VIEWS = {
                min(date) AS start_date, max(date) AS end_date
         FROM fx_calendar GROUP BY year(date), quarter(date)""",
     "fx_totals": """
-        SELECT o_custkey % 25 AS shop_id, CAST(o_orderdate AS DATE) AS date,
+        SELECT o_custkey // 60 AS shop_id, CAST(o_orderdate AS DATE) AS date,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS actual_retail_sales_net
         FROM orders GROUP BY 1, 2""",
+    "fx_shops": "SELECT DISTINCT s_suppkey // 4 AS shop_id FROM supplier",
     "fx_clusters": """
-        SELECT CAST(n_nationkey AS BIGINT) AS shop_id, CAST(n_nationkey % 7 AS INTEGER) AS cluster,
-               r_name AS description
-        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24""",
+        SELECT shop_id, CAST((shop_id * 3 + 3) % 7 AS INTEGER) AS cluster, r_name AS description
+        FROM fx_shops JOIN region ON shop_id % 5 = r_regionkey WHERE shop_id % 25 <> 24""",
     "fx_sites": """
-        SELECT CAST(n_nationkey AS BIGINT) AS site_shop, CAST(n_regionkey AS BIGINT) AS SiteUID
-        FROM nation WHERE n_nationkey <> 23""",
+        SELECT shop_id AS site_shop, shop_id // 5 AS SiteUID FROM fx_shops WHERE shop_id % 25 <> 23""",
     "fx_forecast": """
         SELECT ForecastSiteUID, ForecastDate, v.flag AS CurrentForecast,
                felt + 1 - v.flag + 3 AS MaxTemperature, felt + 1 - v.flag - 4 AS MinTemperature,
                felt + 1 - v.flag AS FeelsLikeTemperature, CAST(hours AS DOUBLE) AS SunshineHours,
                WeatherDescriptor
-        FROM (SELECT o_custkey % 5 AS ForecastSiteUID, CAST(o_orderdate AS DATE) AS ForecastDate,
+        FROM (SELECT o_custkey // 300 AS ForecastSiteUID, CAST(o_orderdate AS DATE) AS ForecastDate,
                      CAST(min(o_orderkey) % 50 - 17 AS DOUBLE) AS felt, count(*) AS hours,
                      min(o_orderpriority) || chr(13) AS WeatherDescriptor
               FROM orders GROUP BY 1, 2), (VALUES (1), (0)) AS v(flag)""",
     "fx_holidays": """
-        SELECT DISTINCT l_suppkey % 25 AS shop_id, CAST(l_shipdate AS DATE) AS date,
-               'shop ' || CAST(l_suppkey % 25 AS VARCHAR) AS shop_name,
+        SELECT DISTINCT l_suppkey // 4 AS shop_id, CAST(l_shipdate AS DATE) AS date,
+               'shop ' || CAST(l_suppkey // 4 AS VARCHAR) AS shop_name,
                CAST(CASE WHEN month(l_shipdate) IN (8, 12) THEN 1 ELSE 0 END AS INTEGER) AS school_holiday
         FROM lineitem""",
     # --- extract

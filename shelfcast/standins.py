@@ -1,8 +1,9 @@
 """The pipeline's input tables, derived by Spark from the given test tables.
 
-Every row of ``lineitem`` and ``orders`` takes part. Products come from dividing part keys
-by a constant, so their number, and with it the number of series, grows with the data,
-while a series keeps its density.
+Every row of ``lineitem`` and ``orders`` takes part. Shops come from dividing supplier keys, and sites
+from dividing customer keys, by constants: their numbers, and with them the number of series, the
+shop-days and the forecasts, grow with the data, while a series keeps its density. One product sells in
+ones and twos, one is rare, and some days sell tenfold, so that all outlier rules apply to some row.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ from pyspark.sql import functions as F
 from shelfcast.sources import schemas
 from shelfcast.sources.tables import conform
 
-SHOPS = 25
-PARTS_PER_PRODUCT = 250
-SITES = 5
+SUPPLIERS_PER_SHOP = 4
+CUSTOMERS_PER_SHOP = 60
+CUSTOMERS_PER_SITE = 300
+SHOPS_PER_SITE = 5
+PRODUCTS = 8
+RARE = 64
 
 # Fixed run dates in place of today.
 RECENT_AS_OF = "20011105"
@@ -25,10 +29,10 @@ TRAIN_START, TRAIN_END, TEST_END = "19960101", "20000101", "20010101"
 
 # Columns of the test tables that are read here; declared, so that no job infers them.
 COLUMNS = {
-    "lineitem": "l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "lineitem": "l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_shipdate TIMESTAMP_NTZ",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
     "o_orderpriority STRING",
-    "nation": "n_nationkey INT, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT",
     "region": "r_regionkey INT, r_name STRING",
 }
 
@@ -38,11 +42,17 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
+    part, qty = F.col("l_partkey"), F.col("l_quantity")
+    rare = part % RARE == PRODUCTS - 1
     lines = _read(spark, folder, "lineitem").select(
-        (F.col("l_suppkey") % SHOPS).alias("shop_id"),
-        F.expr(f"l_partkey div {PARTS_PER_PRODUCT}").alias("product_id"),
+        F.expr(f"l_suppkey div {SUPPLIERS_PER_SHOP}").alias("shop_id"),
+        F.when(rare, F.lit(PRODUCTS)).otherwise(part % PRODUCTS).cast("long").alias("product_id"),
         F.to_date("l_shipdate").alias("t_date"),
-        F.col("l_quantity").alias("qty"),
+        F.when(part % PRODUCTS == 0, F.ceil(qty / 25))
+        .when(F.col("l_linenumber") == 7, qty * 10)
+        .otherwise(qty)
+        .cast("double")
+        .alias("qty"),
     )
     iso_day = F.weekday("t_date") + 1
     sales = lines.groupBy("shop_id", "product_id", "t_date").agg(F.sum("qty").alias("qty"))
@@ -77,28 +87,32 @@ def shop_day_totals(spark: SparkSession, folder: str) -> DataFrame:
     total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
     return (
         _read(spark, folder, "orders")
-        .groupBy((F.col("o_custkey") % SHOPS).alias("shop_id"), F.to_date("o_orderdate").alias("date"))
+        .groupBy(F.expr(f"o_custkey div {CUSTOMERS_PER_SHOP}").alias("shop_id"), F.to_date("o_orderdate").alias("date"))
         .agg(total.alias("actual_retail_sales_net"))
     )
 
 
+def _shops(spark: SparkSession, folder: str) -> DataFrame:
+    suppliers = _read(spark, folder, "supplier")
+    return suppliers.select(F.expr(f"s_suppkey div {SUPPLIERS_PER_SHOP}").alias("shop_id")).distinct()
+
+
 def clusters(spark: SparkSession, folder: str) -> DataFrame:
-    nation, region = _read(spark, folder, "nation"), _read(spark, folder, "region")
-    joined = nation.where("n_nationkey <> 24").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    """Clusters 0 to 6, of which the last has no model; one shop in 25 has none."""
+    region = _read(spark, folder, "region")
+    shops = _shops(spark, folder).where("shop_id % 25 <> 24")
+    joined = shops.join(region, F.col("shop_id") % 5 == F.col("r_regionkey"))
     return conform(
-        joined.select(
-            F.col("n_nationkey").alias("shop_id"),
-            (F.col("n_nationkey") % 7).alias("cluster"),
-            F.col("r_name").alias("description"),
-        ),
+        joined.select("shop_id", ((F.col("shop_id") * 3 + 3) % 7).alias("cluster"), F.col("r_name").alias("description")),
         schemas.CLUSTERS,
     )
 
 
 def weather_sites(spark: SparkSession, folder: str) -> DataFrame:
-    nation = _read(spark, folder, "nation").where("n_nationkey <> 23")
+    """The site of each shop; one shop in 25 has none."""
+    shops = _shops(spark, folder).where("shop_id % 25 <> 23")
     return conform(
-        nation.select(F.col("n_nationkey").alias("Shop_ID"), F.col("n_regionkey").alias("SiteUID")),
+        shops.select(F.col("shop_id").alias("Shop_ID"), F.expr(f"shop_id div {SHOPS_PER_SITE}").alias("SiteUID")),
         schemas.WEATHER_SITES,
     )
 
@@ -107,7 +121,7 @@ def weather_forecast(spark: SparkSession, folder: str) -> DataFrame:
     days = (
         _read(spark, folder, "orders")
         .groupBy(
-            (F.col("o_custkey") % SITES).alias("ForecastSiteUID"),
+            F.expr(f"o_custkey div {CUSTOMERS_PER_SITE}").alias("ForecastSiteUID"),
             F.to_date("o_orderdate").alias("ForecastDate"),
         )
         .agg(
@@ -137,7 +151,7 @@ def weather_forecast(spark: SparkSession, folder: str) -> DataFrame:
 def holidays(spark: SparkSession, folder: str) -> DataFrame:
     days = (
         _read(spark, folder, "lineitem")
-        .select((F.col("l_suppkey") % SHOPS).alias("shop_id"), F.to_date("l_shipdate").alias("date"))
+        .select(F.expr(f"l_suppkey div {SUPPLIERS_PER_SHOP}").alias("shop_id"), F.to_date("l_shipdate").alias("date"))
         .distinct()
     )
     return conform(
