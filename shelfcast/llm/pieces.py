@@ -21,8 +21,8 @@ import codecs
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -39,7 +39,10 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 TABLE = 150_000
 TABLE_CHARS = 64
 UNKNOWN_PENALTY = 10.0
+# Remembered links between pieces.
+LINKS = 1 << 20
 INFINITY = math.inf
+NOWHERE, START = -2, -1
 
 
 def _one_by_one(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -89,8 +92,15 @@ class Transducer:
         self.longest = max(map(len, self.ids), default=1)
         self.worst = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
         inner = any(META in p.lstrip(META) for p in self.ids)
-        self.chunks = re.compile(".+" if inner else f"{META}*[^{META}]+|{META}+", re.DOTALL)
-        self.link = lru_cache(1 << 19)(self._link)
+        # Cuts stand before meta symbols, and around line ends where no piece has one.
+        cut = "" if any("\n" in p for p in self.ids) else "\n"
+        self.chunks = re.compile(".+" if inner else f"{META}*[^{META}{cut}]+|{META}+" + "|\n" * bool(cut), re.DOTALL)
+        self.arcs = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            self.arcs.add_word(piece, (len(piece), i))
+        self.arcs.make_automaton()
+        self.names = {i: piece for piece, i in self.ids.items()}
+        self.free: dict[int, bool] = {}
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
@@ -116,13 +126,21 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _link(self, left: str, right: str) -> float:
+    def link(self, left: str, right: str) -> float:
         """Weight between two pieces; with nothing on the left, of the right one by itself."""
         if not self.merges:
             return 0.0
         pair = [left, right] if left else [right]
         return 0.0 if self.merged(left + right) == pair else INFINITY
 
+    def _is_free(self, key: int, left: int, right: int) -> bool:
+        """Whether the link between two ids is free, remembered; ``START`` stands for nothing."""
+        if len(self.free) >= LINKS:
+            self.free.clear()
+        name = "" if left == START else self.names[left]
+        found = self.free[key] = self.link(name, self.names[right]) < INFINITY
+        return found
+
     def arc(self, piece: str) -> float:
         """Weight of a piece, or of the fallback for a character without one."""
         if self.merges:
@@ -131,6 +149,35 @@ class Transducer:
 
     # --- composition and shortest path ------------------------------------------------------
 
+    def merge_path(self, text: str) -> list[int] | None:
+        """Ids on the free path of a BPE model; None if only the byte fallback gets through.
+
+        The automaton of the pieces reports the arcs into each position, the longest first. At most one
+        of them has a free link to the path behind it.
+        """
+        last = [NOWHERE] * (len(text) + 1)
+        last[0] = START
+        taken = [0] * (len(text) + 1)
+        free = self.free
+        for end, (length, piece) in self.arcs.iter(text):
+            end += 1
+            before = last[end - length]
+            if before == NOWHERE or last[end] != NOWHERE:
+                continue
+            key = before << 32 | piece
+            found = free.get(key)
+            if found is None:
+                found = self._is_free(key, before, piece)
+            if found:
+                last[end], taken[end] = piece, length
+        at, out = len(text), []
+        if last[at] == NOWHERE:
+            return None
+        while at:
+            out.append(last[at])
+            at -= taken[at]
+        return out[::-1]
+
     def path(self, text: str) -> list[str]:
         """Pieces on the shortest path through the lattice of a normalised text."""
         ids, link, merges = self.ids, self.link, self.merges
@@ -152,6 +199,8 @@ class Transducer:
         return pieces[::-1]
 
     def _ids(self, chunk: str) -> tuple[int, ...]:
+        if self.merges and (found := self.merge_path(chunk)) is not None:
+            return tuple(found)
         out: list[int] = []
         for piece in self.path(chunk):
             if piece in self.ids:
