@@ -8,8 +8,9 @@ import pytest
 
 from shelfcast import standins as fx
 from shelfcast.catalog import oracle_sql, queries
-from shelfcast.operators import features, outliers, ranging, sales, weather
+from shelfcast.operators import dataset, features, outliers, ranging, sales, weather
 from shelfcast.plans import pipeline
+from shelfcast.sources import stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,15 +63,54 @@ def test_stored_sales_are_not_shuffled_for_small_tables(spark, stored, tmp_path)
         spark.read.parquet(f"{tmp_path}/{name}")
         for name in ("shop_day_totals", "clusters", "weather_sites", "weather_forecast")
     )
-    quarters = pipeline.launch_quarters(fx.calendar(spark, SF), fx.launch_windows(spark, SF))
+    quarters = stage(sales.launch_calendar(fx.calendar(spark, SF), fx.launch_windows(spark, SF)), "quarters")
     extract = pipeline.sales_extract(stored, totals, clusters, quarters)
     text = plan(extract)
     assert text.count("BroadcastHashJoin") == 3 and "Exchange hash" not in text
-    coded = pipeline.coded_forecast(stored, sites, forecast)
+    codes = weather.fit_weather_codes(stored, sites, forecast)
+    coded = stage(weather.code_forecast(forecast, codes), "forecast")
     text = plan(weather.add_weather(stored, sites, coded))
     assert text.count("BroadcastHashJoin") == 2 and "Exchange hash" not in text
 
 
+def test_training_rows_take_one_pass(spark, stored):
+    """Both parts of a training run come out of one plan: six windows, one sort for each order."""
+    forecast, sites = fx.weather_forecast(spark, SF), fx.weather_sites(spark, SF)
+    rows = pipeline.training_sales(
+        stored, fx.clusters(spark, SF), queries()["launch_calendar"](spark, SF), fx.TRAIN_START, fx.TEST_END
+    )
+    flagged = stage(outliers.flag_outliers(stage(rows, "rows")), "flagged")
+    coded = stage(weather.code_forecast(forecast, weather.fit_weather_codes(flagged, sites, forecast)), "forecast")
+    table = pipeline.training_table(flagged, sites, coded, fx.holidays(spark, SF))
+    marked = dataset.mark_parts(table, fx.TRAIN_START, fx.TRAIN_END, fx.TEST_END)
+    text = plan(marked)
+    assert text.count("Window ") <= 6 and text.count(" Sort [") <= 3
+    assert "actual_retail_sales_net" not in text and "actual_retail_sales_net" not in rows.columns
+
+
+def test_flags_take_few_shuffles(spark, stored):
+    quarters = stage(queries()["launch_calendar"](spark, SF), "quarters")
+    assert plan(outliers.flag_outliers(sales.add_quarters(stored, quarters))).count("Exchange hash") <= 7
+
+
+def test_plan_builders_run_nothing(spark, stored):
+    """Building the plans starts no job."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "plans only")
+    quarters = sales.launch_calendar(fx.calendar(spark, SF), fx.launch_windows(spark, SF))
+    totals, clusters = fx.shop_day_totals(spark, SF), fx.clusters(spark, SF)
+    base = pipeline.base_table(stored, totals, clusters, quarters)
+    forecast = weather.code_forecast(
+        fx.weather_forecast(spark, SF),
+        weather.fit_weather_codes(base, fx.weather_sites(spark, SF), fx.weather_forecast(spark, SF)),
+    )
+    pipeline.feature_table(base, fx.weather_sites(spark, SF), forecast)
+    pipeline.training_table(base, fx.weather_sites(spark, SF), forecast, fx.holidays(spark, SF))
+    pipeline.lag_feature_table(stored, totals, clusters)
+    assert list(tracker.getJobIdsForGroup("lazy")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
 @pytest.mark.parametrize("name", ["anomaly_table", "sales_enriched", "weather_features", "feature_table"])
 def test_no_product_of_rows_and_no_python(spark, name):
     text = final_plan(queries()[name](spark, SF))
