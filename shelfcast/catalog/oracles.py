@@ -21,7 +21,7 @@ VIEWS = {
                      CASE WHEN l_partkey % 64 = 7 THEN 8 ELSE l_partkey % 8 END AS product_id,
                      CAST(l_shipdate AS DATE) AS t_date,
                      sum(CASE WHEN l_partkey % 8 = 0 THEN ceil(l_quantity / 25)
-                              WHEN l_linenumber = 7 THEN l_quantity * 10 ELSE l_quantity END) AS qty
+                              WHEN l_partkey % 8 = 1 THEN l_quantity * 10 ELSE l_quantity END) AS qty
               FROM lineitem GROUP BY 1, 2, 3)""",
     "fx_calendar": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem",
     "fx_launch": """
