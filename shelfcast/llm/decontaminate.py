@@ -108,7 +108,9 @@ def leaks(
 
     def enough(matched: DataFrame) -> DataFrame:
         counts = matched.groupBy(*doc, *item).agg(F.countDistinct("hash").alias("matched"))
-        return counts.join(sizes, item, "left").where(F.col("matched") >= SHARE * F.col("windows"))
+        of_item = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in item]
+        both = counts.alias("a").join(sizes.alias("b"), of_item).select("a.*", "windows")
+        return both.where(F.col("matched") >= SHARE * F.col("windows"))
 
     pairs = stage(enough(hits).select(*doc, *item), "leak-pairs")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in doc]
