@@ -56,23 +56,65 @@ def with_tokens(rows: DataFrame, text_col: str) -> DataFrame:
     return rows.withColumn("_raw", raw).withColumn("found", found).drop("_raw")
 
 
-def with_windows(rows: DataFrame) -> DataFrame:
-    """Add ``windows``, hashes of all windows of ``found``; fewer tokens than a window are one, none null."""
-    template = F.transform("found", lambda t: F.coalesce(t["slot"], t["value"]))
-    last = F.greatest(F.size("_template") - WINDOW + 1, F.lit(1))
-    hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("_template", i, F.lit(WINDOW))))
+def _typed_arrays(rows: DataFrame) -> DataFrame:
+    """Add ``_template``, and ``_heads``: the template as if each token stood first in its text."""
+    at_start = lambda t: F.when((t["slot"] == NUMBER) | t["value"].isin(SIGNS), t["slot"])
+    return rows.withColumn("_template", F.transform("found", lambda t: F.coalesce(t["slot"], t["value"]))).withColumn(
+        "_heads", F.transform("found", lambda t: F.coalesce(at_start(t), t["value"]))
+    )
+
+
+def _short_hash(start: Column, length: Column) -> Column:
+    """Hash of a window shorter than ``WINDOW``.
+
+    Its first token counts as at the start of a text, where a capital makes no name. A window of slots
+    alone has no template and goes by its values.
+    """
+    rest = F.slice("_template", start + 1, length - 1)
+    window = F.concat(F.slice("_heads", start, F.lit(1)), rest)
+    literal = F.exists(window, lambda t: ~t.isin(NUMBER, NAME, UNIT))
+    return F.xxhash64(F.when(literal, window).otherwise(F.slice(F.col("found.value"), start, length)))
+
+
+def _long_hashes() -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_template") - WINDOW + 1, F.lit(1)))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("_template", i, F.lit(WINDOW))))
+    return F.when(F.size("_template") >= WINDOW, hashes)
+
+
+def item_windows(rows: DataFrame) -> DataFrame:
+    """Add ``length`` and ``windows``, hashes of all windows of that length; fewer tokens than a window are one."""
+    size = F.size("found")
     return (
-        rows.withColumn("_template", template)
-        .withColumn("windows", F.when(F.size("_template") > 0, hashes))
-        .drop("_template")
+        _typed_arrays(rows)
+        .withColumn("length", F.least(size, F.lit(WINDOW)))
+        .withColumn("windows", F.coalesce(_long_hashes(), F.array(_short_hash(F.lit(1), size))))
+        .drop("_template", "_heads")
     )
 
 
+def doc_windows(rows: DataFrame, short: list[int]) -> DataFrame:
+    """Add ``windows``: arrays of hashes by window length, ``WINDOW`` and those in ``short``.
+
+    A text of fewer tokens than ``WINDOW`` is one window.
+    """
+    size = F.size("found")
+
+    def hashes(k: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(size - k + 1, F.lit(1)))
+        inside = F.transform(starts, lambda i: _short_hash(i, F.lit(k)))
+        return F.when((size >= WINDOW) | (size == k), inside)
+
+    arrays = [(WINDOW, _long_hashes()), *((k, hashes(k)) for k in short)]
+    spans = F.array(*(F.struct(F.lit(k).alias("length"), found.alias("hashes")) for k, found in arrays))
+    return _typed_arrays(rows).withColumn("windows", spans).drop("_template", "_heads")
+
+
 def _benchmark(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, found, windows) of every item with a token; items may share an id, then any of them counts."""
+    """(item_id, found, length, windows) of every item with a token; items may share an id, then any of them counts."""
     items = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
-    found = with_windows(with_tokens(items, "text")).where(F.size("found") > 0)
-    return found.select("item_id", F.xxhash64(F.col("found.value")).alias("item_th"), "found", "windows")
+    found = item_windows(with_tokens(items, "text").where(F.size("found") > 0))
+    return found.select("item_id", F.xxhash64(F.col("found.value")).alias("item_th"), "found", "length", "windows")
 
 
 def leaks(
@@ -88,23 +130,26 @@ def leaks(
     ``matched`` of the item's ``windows`` distinct template windows occur in the document with consistent
     slots; ``changed`` counts its slot values that differ from the item's, 0 for a plain copy. ``_th`` is
     a hash of the document's text. Null and empty texts on either side match nothing; an item shorter
-    than a window counts as one window and matches a document that is no longer than it. Repeated
+    than a window counts as one window and is looked for anywhere in documents of ``WINDOW`` tokens or
+    more; a document shorter than that counts as one window too, so such an item must fill it. Repeated
     rows of a document give one row. Columns other than those named are not read. An empty table on
     either side gives an empty result.
     """
     items = stage(_benchmark(benchmark, item_col, item_text), "leak-items")
     item = ["item_id", "item_th"]
-    probes = stage(items.select(*item, F.posexplode("windows").alias("item_pos", "hash")), "leak-probes")
+    probes = stage(items.select(*item, "length", F.posexplode("windows").alias("item_pos", "hash")), "leak-probes")
     sizes = probes.groupBy(*item).agg(F.countDistinct("hash").alias("windows"))
 
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     # The outer form: for the inner one Spark infers a filter and copies the whole expression into it.
-    hashed = with_windows(with_tokens(rows, "text")).select(
-        "id", "th", F.posexplode_outer("windows").alias("pos", "hash")
+    lengths = items.where(F.col("length") < WINDOW).select("length").distinct().collect()  # of seven at most
+    spans = doc_windows(with_tokens(rows, "text"), sorted(row["length"] for row in lengths)).select(
+        "id", "th", F.explode_outer("windows").alias("span")
     )
+    hashed = spans.select("id", "th", "span.length", F.posexplode_outer("span.hashes").alias("pos", "hash"))
     doc = ["id", "th"]
-    hits = stage(hashed.join(bounded(probes, BROADCAST_ROWS), "hash"), "leak-hits")
+    hits = stage(hashed.join(bounded(probes, BROADCAST_ROWS), ["length", "hash"]), "leak-hits")
 
     def enough(matched: DataFrame) -> DataFrame:
         counts = matched.groupBy(*doc, *item).agg(F.countDistinct("hash").alias("matched"))

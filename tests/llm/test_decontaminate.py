@@ -43,6 +43,24 @@ def test_short_items_and_nulls(spark):
     assert found(spark, docs, items) == {(1, 1): 0, (None, None): 0, (None, 4): 0, (3, None): 0, (3, 4): 0}
 
 
+def test_short_items_inside_longer_documents(spark):
+    items = [(1, "What is the capital of France?"), (2, "Name 3 rivers."), (3, "1789"), (4, "two words"), (5, OTHER)]
+    filler = "a text of its own that goes on for more than a window of tokens"
+    docs = [
+        (1, f"{filler}. What is the capital of France? {filler}"),
+        (2, f"{filler}, question: What is the capital of Spain, {filler}"),  # inside a sentence, another name
+        (3, f"{filler}. Paris is the capital of France, {filler}"),
+        (4, f"{filler}: Name 12 rivers and two words more"),
+        (5, f"{filler} in 1789 and 1848"),
+        (6, f"{filler} in 1790, two other words"),
+        (7, f"{filler} {OTHER}"),
+        (8, None),
+    ]
+    want = {(1, 1): 0, (2, 1): 1, (4, 2): 1, (4, 4): 0, (5, 3): 0, (7, 5): 0}
+    assert found(spark, docs, items) == want
+    assert found(spark, docs, items[:4]) == {k: v for k, v in want.items() if k[1] < 5}
+
+
 def test_dropping_keeps_the_rest(spark):
     rows = [(1, "clean text of its own", "a"), (2, ITEM, "b"), (None, ITEM, "c"), (None, "other", "d"), (3, None, "e"), (4, "", "f")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, item_id string").selectExpr("*", "item_id AS hash", "1 AS windows")
