@@ -4,8 +4,8 @@ Numbers, names and units of a text become typed placeholders, so that a benchmar
 parameters were changed keeps its template. Windows of template tokens are hashed and joined: those of
 every document against those of the benchmark. Where a document shows at least ``SHARE`` of an item's windows,
 the slots decide: along one alignment of the two texts each value in the item's slots must stand for
-one value in the document. "3 of 3" may become "5 of 5", not "5 of 7". Alignments that break this are
-set aside, and what is left must still hold ``SHARE`` of the windows.
+one value in the document. "3 of 3" may become "5 of 5", not "5 of 7". The windows over slots that break
+this are set aside, and what is left must still hold ``SHARE`` of the windows.
 """
 
 from __future__ import annotations
@@ -117,6 +117,22 @@ def _benchmark(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return found.select("item_id", F.xxhash64(F.col("found.value")).alias("item_th"), "found", "length", "windows")
 
 
+def _torn(slots: DataFrame, line: list[str]) -> DataFrame:
+    """(line, at) of the slots that break with their item's value along a line.
+
+    Where one value of the item stands for several, the most frequent of these is taken, of equally
+    frequent ones the item's own; if neither decides, all of the value's slots are set aside.
+    """
+    counts = slots.groupBy(*line, "old", "new").agg(F.count("*").alias("n")).withColumn("own", F.col("old") == F.col("new"))
+    top = F.max(F.struct("n", "own", "new")).alias("top")
+    low = F.min(F.struct(-F.col("n"), ~F.col("own"), F.col("new").alias("new"))).alias("low")
+    values = counts.groupBy(*line, "old").agg(top, low, F.count("*").alias("values")).where("values > 1")
+    taken = values.select(*line, "old", F.when(F.col("top.new") == F.col("low.new"), F.col("top.new")).alias("taken"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*line, "old"]]
+    both = slots.alias("a").join(taken.alias("b"), same).where("taken IS NULL OR new <> taken")
+    return both.select(*(f"a.{c}" for c in line), "at")
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -128,7 +144,8 @@ def leaks(
     """Pairs of a document and a benchmark item it shows: (id, _th, item_id, matched, windows, changed).
 
     ``matched`` of the item's ``windows`` distinct template windows occur in the document with consistent
-    slots; ``changed`` counts its slot values that differ from the item's, 0 for a plain copy. ``_th`` is
+    slots; ``changed`` counts its slot values that differ from the item's, at one place or at all, 0 for a
+    plain copy. ``_th`` is
     a hash of the document's text. Null and empty texts on either side match nothing; an item shorter
     than a window counts as one window and is looked for anywhere in documents of ``WINDOW`` tokens or
     more; a document shorter than that counts as one window too, so such an item must fill it. Repeated
@@ -174,12 +191,17 @@ def leaks(
     of_doc = found.select(*doc, F.posexplode("found").alias("doc_at", "here")).where("here.slot IS NOT NULL")
     slots = placed.withColumn("doc_at", F.col("line") + F.col("at")).alias("a").join(
         of_doc.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*doc, "doc_at"]]
-    ).select(*(f"a.{c}" for c in [*doc, *item, "line"]), F.col("there.value").alias("old"), F.col("here.value").alias("new"))
-    slots = stage(slots.groupBy(*doc, *item, "line", "old", "new").count().drop("count"), "leak-slots")
-    broken = slots.groupBy(*doc, *item, "line", "old").count().where("count > 1").select(*doc, *item, "line").distinct()
+    ).select(*(f"a.{c}" for c in [*doc, *item, "line", "at"]), F.col("there.value").alias("old"), F.col("here.value").alias("new"))
+    slots = stage(slots, "leak-slots")
+    torn = stage(_torn(slots, [*doc, *item, "line"]), "leak-torn")
+    spoiled = torn.select(
+        *doc, *item, "line", F.explode(F.sequence(F.col("at") - WINDOW + 1, F.col("at"))).alias("item_pos")
+    ).distinct()
     same_line = [*same_pair, F.col("a.line") == F.col("b.line")]
-    kept = close.alias("a").join(broken.alias("b"), same_line, "left_anti")
-    whole = slots.alias("a").join(broken.alias("b"), same_line, "left_anti")
+    kept = close.alias("a").join(spoiled.alias("b"), [*same_line, F.col("a.item_pos") == F.col("b.item_pos")], "left_anti")
+    kept = stage(kept, "leak-kept")
+    lines = kept.select(*doc, *item, "line").distinct()
+    whole = slots.alias("a").join(lines.alias("b"), same_line, "left_semi")
     changed = whole.where("old <> new").groupBy(*doc, *item).agg(F.countDistinct("old").alias("changed"))
     return (
         enough(kept).alias("a").join(changed.alias("b"), same_pair, "left")

@@ -31,6 +31,20 @@ def test_copies_and_changed_parameters(spark):
     assert got[10, 1] == 0 and got[11, 1] == 4 and got[18, 2] == 0
 
 
+def test_one_slot_that_breaks_costs_its_windows_only(spark):
+    three = "Take 4 eggs from the box on the table, put 4 cups on the tray beside it and then wash all the 4 spoons in the sink"
+    docs = [
+        (1, ITEM.replace("gives 5", "gives 6")),  # one of two numbers
+        (2, ITEM.replace("does Tom", "does Tim")),  # a misspelt name
+        (3, ITEM.replace("12", "90").replace("gives 5", "gives 6")),
+        (4, three.replace("4", "9").replace("9 spoons", "8 spoons")),  # two against one
+        (5, three.replace("4 eggs", "7 eggs").replace("4 cups", "8 cups").replace("4 spoons", "9 spoons")),  # all differ
+        (6, "Each of 3 boys has 5 of the 7 nets"),
+    ]
+    items = [(1, ITEM), (2, three), (3, "Each of 3 boys has 3 of the 3 nets")]
+    assert found(spark, docs, items) == {(1, 1): 1, (2, 1): 1, (3, 1): 2, (4, 2): 1}
+
+
 def test_units_and_signs(spark):
     item = "The road is 12 km long and the bus needs 30 minutes for it, how fast does the bus drive on average"
     good = "The road is 900 miles long and the bus needs 7.5 hours for it, how fast does the bus drive on average"
