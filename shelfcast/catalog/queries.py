@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -100,9 +100,10 @@ def _training_table(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.training_table(base, fx.weather_sites(spark, d), coded, fx.holidays(spark, d))
 
 
-def _feature_table(spark: SparkSession, d: str) -> DataFrame:
+def _feature_table(spark: SparkSession, d: str, extra: Sequence[str] = ()) -> DataFrame:
     base = _base(spark, d)
-    return pipeline.feature_table(base, fx.weather_sites(spark, d), _coded(spark, d, pipeline.kept_sales(base)))
+    coded = _coded(spark, d, pipeline.kept_sales(base))
+    return pipeline.feature_table(base, fx.weather_sites(spark, d), coded, extra)
 
 
 def _lag_feature_table(spark: SparkSession, d: str) -> DataFrame:
@@ -423,14 +424,14 @@ def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
 def _cluster_models(spark: SparkSession, d: str):
     """Scoring rows, stored by cluster, and a model per cluster fitted on all its earlier rows.
 
-    Features are worked out once, for history and scoring days together. A cluster without history
-    has no model; its rows come back without a prediction.
+    Features are worked out once, for history and scoring days together. History keeps its range flag;
+    rows to score count as in range. A cluster without history has no model; its rows come back without
+    a prediction.
     """
-    table = dataset.add_holidays(_feature_table(spark, d), fx.holidays(spark, d))
+    table = dataset.add_holidays(_feature_table(spark, d, ["out_of_range"]), fx.holidays(spark, d))
     table = stage(table, "cluster-features", ["cluster"], rebalance=True)
     day = F.lit(parse_ymd(fx.SCORING_AS_OF))
-    filled = table.withColumn("out_of_range", F.lit(0))
-    history = filled.where((F.col("t_date") < day) & F.col("cluster").isin(*scoring.CLUSTERS))
+    history = table.where((F.col("t_date") < day) & F.col("cluster").isin(*scoring.CLUSTERS))
     present = {row["cluster"] for row in history.select("cluster").distinct().collect()}  # of six at most
     parts = {cluster: history.where(F.col("cluster") == cluster) for cluster in present}
     by_cluster = models.train_each(parts, CLUSTER_MODEL_COLUMNS, "new_qty")
@@ -474,8 +475,8 @@ def train_model_inputs(spark: SparkSession, d: str) -> DataFrame:
 
 def compare_fitted(spark: SparkSession, d: str) -> DataFrame:
     """Two fitted models, a shallow and a deeper one, on all rows of the feature table."""
-    features = stage(_feature_table(spark, d), "features")
-    rows = dataset.add_holidays(features, fx.holidays(spark, d)).withColumn("out_of_range", F.lit(0))
+    features = stage(_feature_table(spark, d, ["out_of_range"]), "features")
+    rows = dataset.add_holidays(features, fx.holidays(spark, d))
     history = stage(rows.where(F.col("t_date") < F.lit(parse_ymd(fx.TRAIN_END))), "history")
     first, second = (models.train(history, CLUSTER_MODEL_COLUMNS, "new_qty", depth=depth) for depth in (2, 3))
     return pipeline.compare_fitted(features, fx.holidays(spark, d), first, second)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +23,20 @@ def add_new_qty(df: DataFrame) -> DataFrame:
 
 
 def feature_table(
-    base: DataFrame, sites: DataFrame, forecast: DataFrame, codes: DataFrame | None = None
+    base: DataFrame,
+    sites: DataFrame,
+    forecast: DataFrame,
+    codes: DataFrame | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """The 38-column feature table of the rows that are not outliers.
+    """The 38-column feature table of the rows that are not outliers, and the ``extra`` columns of the base.
 
     ``forecast`` may be coded already; else the codes are ``codes`` or fitted on these rows.
     """
     kept = drop_outliers(add_new_qty(base)).dropna(subset=GRAIN)
     if codes is None and "Weather_Code" not in forecast.columns:
         codes = fit_weather_codes(kept, sites, forecast)
-    return project(add_weather(sales_features(kept, "new_qty"), sites, forecast, codes), FEATURE_COLUMNS)
+    return project(add_weather(sales_features(kept, "new_qty"), sites, forecast, codes), [*FEATURE_COLUMNS, *extra])
 
 
 def add_holidays(df: DataFrame, holidays: DataFrame) -> DataFrame:

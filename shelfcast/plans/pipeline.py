@@ -5,7 +5,7 @@ joined, the caller stages first; each function names what that is."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -70,9 +70,9 @@ def kept_sales(flagged: DataFrame) -> DataFrame:
     return sales.drop_outliers(flagged).dropna(subset=GRAIN)
 
 
-def feature_table(base: DataFrame, sites: DataFrame, coded: DataFrame) -> DataFrame:
-    """The feature table of a base table. Stage the coded forecasts (``weather.code_forecast``)."""
-    return dataset.feature_table(base, sites, coded)
+def feature_table(base: DataFrame, sites: DataFrame, coded: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The feature table of a base table, with ``extra`` columns of it. Stage the coded forecasts (``weather.code_forecast``)."""
+    return dataset.feature_table(base, sites, coded, extra=extra)
 
 
 def training_sales(
