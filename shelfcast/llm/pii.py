@@ -62,6 +62,18 @@ def emails(text: str):
             floor = at  # an @ belongs to no local part
 
 
+def ibans(text: str):
+    """Spans whose checksum holds: of each run the longest that ends at one of its spaces or its end."""
+    at = 0
+    while match := IBAN.search(text, at):
+        start, end = match.span()
+        while end > start and not mod97(text[start:end]):
+            end = text.rfind(" ", start, end)
+        if end > start:
+            yield start, end
+        at = max(end, start + 1)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -93,7 +105,7 @@ def candidates(text: str):
             yield "card", *m.span()
     if "+" in text:
         yield from (("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(NOT_DIGITS.sub("", m[0])) <= 15)
-    yield from (("iban", *m.span()) for m in IBAN.finditer(text) if mod97(m[0]))
+    yield from (("iban", *span) for span in ibans(text))
     yield from (("ssn", *m.span()) for m in SSN.finditer(text) if social(m[0]))
 
 

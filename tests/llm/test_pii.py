@@ -67,6 +67,15 @@ def test_added_kinds_and_context():
     assert pii.redact("mail a@b.cc now") == "mail <email> now" and pii.redact(None) is None
 
 
+def test_ibans_inside_longer_runs():
+    found = lambda t: [t[a:b] for k, a, b, _ in pii.find(t) if k == "iban"]
+    spaced, tight = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    assert found(f"{spaced} BIC COBADEFF") == [spaced] and found(f"{tight} 7 days") == [tight]
+    assert found(f"{spaced} GB82 WEST 1234 5698 7654 32 X") == [spaced, "GB82 WEST 1234 5698 7654 32"]
+    assert found(f"AB12 {spaced}") == [spaced] and found(f"x{tight}") == found(f"{tight}x") == []
+    assert found("DE88 3704 0044 0532 0130 00 BIC COBADEFF") == []
+
+
 def test_rows_of_every_kind(spark):
     rows = [(1, "a@b.cc and 1.2.3.4", "x"), (1, "a@b.cc and 1.2.3.4", "x"), (None, "é +1 (017) 555-7713", "y"), (2, None, "z"), (3, "", "z")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, pii string")
