@@ -6,8 +6,23 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from shelfcast.llm import decontaminate, line_dedup, packing, pieces, pii, quality, secrets, sharding, simhash, url_rules
+from pyspark.sql import functions as F
+
+from shelfcast.llm import (
+    decontaminate,
+    lexical,
+    line_dedup,
+    packing,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    topk,
+    url_rules,
+    whitening,
+)
 from shelfcast.llm.common import read
 
 TOKENIZERS = os.environ.get("SHELFCAST_TOKENIZERS", "/opt/tokenizers")
@@ -65,9 +80,22 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.digest(pii.scan(read(spark, d, "documents")))
 
 
+def op11_top_k_search(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(read(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return lexical.rank(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(read(spark, d, "embeddings"))
+
+
 REGISTERED = [
     op1_line_dedup, op2_sentencepiece, op3_packing, op4_url_filters, op5_sharding, op6_simhash,
-    op7_decontamination, op8_quality_rules, op9_secret_scans, op10_pii,
+    op7_decontamination, op8_quality_rules, op9_secret_scans, op10_pii, op11_top_k_search,
+    op12_lexical_search, op13_whitening,
 ]
 
 
