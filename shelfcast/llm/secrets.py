@@ -1,7 +1,7 @@
 """Secret scans with an incremental ledger of blobs.
 
 Every version of every file is addressed by the hash of its content. The ledger says which (blob, rule
-version) pairs have been scanned and what was found; a scan touches only the texts of blobs with a pair
+version) pairs have been scanned and what each found; a scan touches only the texts of blobs with a pair
 that it lacks, each once however many paths hold it, and applies only the rules that are new to the blob.
 Findings join back to all paths by the hash.
 
@@ -48,14 +48,12 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
-LEDGER = "blob string, pairs array<string>, spans array<struct<start:int,rank:int,end:int,kind:string>>"
+SPANS = "array<struct<start:int,end:int,rule:string>>"
+LEDGER = f"blob string, pairs array<string>, spans {SPANS}"
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.sql(
-        "SELECT CAST(NULL AS STRING) AS blob, CAST(NULL AS ARRAY<STRING>) AS pairs, CAST(NULL AS "
-        "ARRAY<STRUCT<start:INT,rank:INT,end:INT,kind:STRING>>) AS spans WHERE false"
-    )
+    return spark.sql(f"SELECT CAST(NULL AS STRING) AS blob, CAST(NULL AS ARRAY<STRING>) AS pairs, CAST(NULL AS {SPANS}) AS spans").where("false")
 
 
 def address(text):
@@ -66,7 +64,8 @@ def address(text):
 def scan_new(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
     """The ledger rows that ``versions`` (text) add: (blob, pairs, spans).
 
-    One row for each blob with a pair that the ledger lacks, holding those pairs and their findings.
+    One row for each blob with a pair that the ledger lacks, holding those pairs and their findings. A finding
+    names its rule and version, whatever the order of the rules.
     """
     keys = F.array(*(F.lit(r.key) for r in rules))
     seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("seen"))
@@ -99,7 +98,6 @@ def scan_new(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
     keep = F.lit(False)
     for rank, rule in enumerate(rules):
         keep = F.when(F.col("hit.rank") == rank, F.col("match").rlike(rule.keep) if rule.keep else F.lit(True)).otherwise(keep)
-    kinds = F.array(*(F.lit(r.kind) for r in rules))
     lengths = hits.select(
         "blob",
         "pairs",
@@ -117,9 +115,8 @@ def scan_new(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
     )
     span = F.struct(
         (F.col("end") - F.col("chars")).cast("int").alias("start"),
-        F.col("hit.rank").alias("rank"),
         F.col("end").cast("int").alias("end"),
-        F.get(kinds, F.col("hit.rank")).alias("kind"),
+        F.get(keys, F.col("hit.rank")).alias("rule"),
     )
     return placed.groupBy("blob").agg(
         F.any_value("pairs").alias("pairs"),
@@ -128,16 +125,21 @@ def scan_new(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
 
 
 def report(paths: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
-    """``paths`` (any columns and ``blob``) with ``spans``, the findings of the given rules, by start."""
-    current = F.array(*(F.lit(r.kind) for r in rules))
-    ranks = {r.kind: i for i, r in enumerate(rules)}
+    """``paths`` (any columns and ``blob``) with ``spans``, the findings of the given rule versions, by start, then rule.
+
+    What other versions of a rule have found stays in the ledger and is not reported.
+    """
+    if len({r.kind for r in rules}) < len(rules):
+        raise ValueError("two rules of one kind")
+    keys, kinds = F.array(*(F.lit(r.key) for r in rules)), F.array(*(F.lit(r.kind) for r in rules))
+    rank = (F.array_position(keys, F.col("s.rule")) - 1).cast("int")
     findings = (
         ledger.select("blob", F.explode("spans").alias("s"))
-        .where(F.array_contains(current, F.col("s.kind")))
+        .where(rank >= 0)
+        .select("blob", F.struct(F.col("s.start").alias("start"), rank.alias("rank"), F.col("s.end").alias("end"), F.get(kinds, rank).alias("kind")).alias("s"))
         .groupBy("blob")
         .agg(F.sort_array(F.collect_set("s")).alias("spans"))
     )
-    assert len(ranks) == len(rules)
     return paths.join(stage(findings, "secret-findings"), "blob", "left")
 
 
@@ -146,7 +148,7 @@ def scan(
 ) -> tuple[DataFrame, DataFrame]:
     """Scan all versions: (id, blob, spans) of every row, and the rows to append to the ledger.
 
-    Offsets are code points of the whole text, ends exclusive. Null texts count as empty; a text without
+    Offsets are code points of the whole text, however long, ends exclusive. Null texts count as empty; a text without
     findings has null ``spans``. Repeated rows and texts are all reported. Columns other than the two
     named are not read. An empty table gives two empty frames.
     """
