@@ -24,44 +24,59 @@ from shelfcast.llm.common import stage
 
 # A group of at least a HEAVYth of a shard's share enters at the root.
 HEAVY = 64
+# Least items of a cell for each part.
+LEAST = 4
 OVERHEAD = 16
 
 
 def difference(sizes: np.ndarray, parts: int) -> np.ndarray:
-    """The part, 0 to ``parts`` - 1, of each size, by differencing; ties by position."""
+    """The part, 0 to ``parts`` - 1, of each size, by differencing; ties by position.
+
+    A partial partition holds its filled parts only, in descending order, so that many parts cost no memory
+    before they are filled.
+    """
     n = len(sizes)
     if n == 0:
         return np.zeros(0, dtype=np.int32)
-    sums: dict[int, np.ndarray] = {}
-    heap = []
-    for i, size in enumerate(sizes):
-        heap.append((-int(size), i))
-        sums[i] = np.zeros(parts, dtype=np.int64)
-        sums[i][0] = size
+    sums = {i: np.array([size], dtype=np.int64) for i, size in enumerate(sizes)}
+    heap = [(-int(size), i) if parts > 1 else (0, i) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     merges = []
     while len(heap) > 1:
         _, a = heapq.heappop(heap)
         _, b = heapq.heappop(heap)
-        total = sums.pop(a) + sums.pop(b)[::-1]
+        one, other = sums.pop(a), sums.pop(b)[::-1]
+        if len(one) + len(other) <= parts:
+            total, places = np.concatenate([one, other]), np.r_[: len(one), parts - len(other) : parts]
+        else:
+            total, places = np.zeros(parts, dtype=np.int64), np.arange(parts)
+            total[: len(one)] = one
+            total[parts - len(other) :] += other
         order = np.argsort(-total, kind="stable")
         total = total[order]
         node = n + len(merges)
-        merges.append((a, b, order))
+        merges.append((a, b, len(one), len(other), places[order].astype(np.int32)))
         sums[node] = total
-        heapq.heappush(heap, (-int(total[0] - total[-1]), node))
+        heapq.heappush(heap, (-int(total[0] - (total[-1] if len(total) == parts else 0)), node))
     # Unfold: labels[node][j] is the final part of the node's j-th largest part.
-    labels: dict[int, np.ndarray] = {heap[0][1]: np.arange(parts, dtype=np.int32)}
+    top = heap[0][1]
+    labels: dict[int, np.ndarray] = {top: np.arange(len(sums[top]), dtype=np.int32)}
     out = np.zeros(n, dtype=np.int32)
     for node in range(n + len(merges) - 1, -1, -1):
         own = labels.pop(node)
         if node < n:
             out[node] = own[0]
             continue
-        a, b, order = merges[node - n]
-        before = np.empty(parts, dtype=np.int32)
-        before[order] = own
-        labels[a], labels[b] = before, before[::-1]
+        a, b, filled, others, places = merges.pop()
+        if filled + others <= parts:
+            first = places < filled
+            labels[a], labels[b] = np.empty(filled, np.int32), np.empty(others, np.int32)
+            labels[a][places[first]] = own[first]
+            labels[b][parts - 1 - places[~first]] = own[~first]
+        else:
+            before = np.empty(parts, dtype=np.int32)
+            before[places] = own
+            labels[a], labels[b] = before[:filled].copy(), before[::-1][:others].copy()
     return out
 
 
@@ -79,8 +94,10 @@ def assign_groups(groups: DataFrame, parts: int, cell_items: int = 4000) -> Data
     """Shard of every group: (item string, bytes long) -> (item, shard). Items are unique.
 
     No task sees more than about ``cell_items`` items below the root, and twice that and ``parts`` times
-    ``HEAVY`` at the root.
+    ``HEAVY`` at the root. A cell has at least ``LEAST`` items for each part, so that every level is smaller than the
+    one before, whatever the number of parts.
     """
+    cell_items = max(cell_items, LEAST * parts)
     groups = stage(groups, "shard-groups")
     n, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     weight = max(1, total // (parts * HEAVY))
@@ -123,7 +140,7 @@ def shard(
     """Place every row: (id, size, text_crc32, law, shard, slot, grown_shard).
 
     The law is ``bytes``: sizes of the shards as near equal as differencing gets them, equal texts in one
-    shard. ``size`` is the UTF-8 length plus 16. A null text has size 16 and CRC 0; null texts are one
+    shard. Whole texts count, however long. ``size`` is the UTF-8 length plus 16. A null text has size 16 and CRC 0; null texts are one
     group, apart from empty ones. Rows that repeat are all placed, in the same shard. Slots count from 0
     without gaps in each shard. Ids may be null or repeated. Columns other than the two named are not
     read. An empty table gives an empty result. ``grown_shard`` is null: adding a shard moves groups.

@@ -30,6 +30,40 @@ def test_differencing_balances():
     assert len(sharding.difference(np.zeros(0, dtype=np.int64), 4)) == 0
 
 
+def plain_difference(sizes, parts):
+    """Differencing on whole lists of parts, each with the places of its items."""
+    heap = [(-s, i, [(s, [i])] + [(0, [])] * (parts - 1)) for i, s in enumerate(map(int, sizes))]
+    number = len(heap)
+    while len(heap) > 1:
+        heap.sort(key=lambda h: h[:2])
+        (_, _, a), (_, _, b), *heap = heap
+        merged = sorted(((x + y, p + q) for (x, p), (y, q) in zip(a, b[::-1])), key=lambda t: -t[0])
+        heap.append((merged[-1][0] - merged[0][0], number, merged))
+        number += 1
+    out = [0] * len(sizes)
+    for part, (_, places) in enumerate(heap[0][2]):
+        for place in places:
+            out[place] = part
+    return out
+
+
+def test_differencing_equals_the_plain_form():
+    dice = np.random.default_rng(2)
+    for n, parts in ((1, 1), (3, 1), (6, 2), (9, 4), (30, 7), (30, 50), (60, 16)):
+        sizes = dice.integers(1, 40, n)
+        assert sharding.difference(sizes, parts).tolist() == plain_difference(sizes, parts)
+
+
+def test_many_shards(spark):
+    sizes = F.expr("CAST(16 + pmod(xxhash64(id), 5000) AS LONG)")
+    groups = spark.range(20_000).select(F.col("id").cast("string").alias("item"), sizes.alias("bytes"))
+    for parts in (5000, 2500):
+        rows = sharding.assign_groups(groups, parts, 500).join(groups, "item").toPandas()
+        assert len(rows) == 20_000 and rows["item"].is_unique and rows["shard"].between(0, parts - 1).all()
+        sums = rows.groupby("shard")["bytes"].sum()
+        assert len(sums) == parts and sums.max() < 2 * sums.mean()
+
+
 @pytest.mark.parametrize("cell_items", [4000, 600])
 def test_groups_over_cells(spark, cell_items):
     sizes = F.expr("CAST(16 + pmod(xxhash64(id), 5000) AS LONG)")
