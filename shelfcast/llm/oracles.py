@@ -85,8 +85,8 @@ metrics AS (
     SELECT doc_id, lang, source, base_failed, unnest([
         {'m': 'word_length', 'v': 100 * word_chars // greatest(n_words, 1), 'slack': 450, 'low': true},
         {'m': 'symbols', 'v': 1000 * n_symbols // greatest(word_chars, 1), 'slack': 15, 'low': false},
-        {'m': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1), 'slack': 400, 'low': false},
-        {'m': 'repeats', 'v': 1000 * n_repeat_words // greatest(n_words, 1), 'slack': 200, 'low': false},
+        {'m': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1), 'slack': 250, 'low': false},
+        {'m': 'repeats', 'v': 1000 * n_repeat_words // greatest(n_words, 1), 'slack': 150, 'low': false},
         {'m': 'echoes', 'v': 1000 * n_echo_words // greatest(n_words, 1), 'slack': 100, 'low': false},
         {'m': 'upper', 'v': 1000 * n_upper_words // greatest(n_words, 1), 'slack': 150, 'low': false}], recursive := true)
     FROM based),

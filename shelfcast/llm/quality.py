@@ -27,12 +27,13 @@ from shelfcast.llm.common import stage, text_batches
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper_words", "n_echo_words"]
-# Metric: (value as an integer, slack of its fence, whether it has a lower fence too).
+# Metric: (value as an integer, slack of its fence, whether it has a lower fence too). A slack is the noise of good
+# rows: in a source without any repeats, one row in some hundred still repeats up to that much.
 METRICS: dict[str, tuple[str, int, bool]] = {
     "word_length": ("100 * word_chars div greatest(n_words, 1)", 450, True),
     "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 15, False),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 400, False),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 200, False),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 250, False),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 150, False),
     "echoes": ("1000 * n_echo_words div greatest(n_words, 1)", 100, False),
     "upper": ("1000 * n_upper_words div greatest(n_words, 1)", 150, False),
 }
@@ -196,7 +197,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Counts and verdict of every row: (id, counts, base_failed, kept).
 
     ``docs`` needs columns ``lang`` and ``source``; others are not read, whatever their names. Null and
-    empty texts count zero words and fail. Repeated rows are judged each; an empty table gives an empty
+    empty texts count zero words and fail; long texts are measured whole. Repeated rows are judged each; an empty table gives an empty
     result.
     """
     wanted = docs.select(

@@ -87,3 +87,32 @@ def test_labelled_documents(spark):
     rows = quality.judge(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id").where("n_words >= 10 AND NOT base_failed")
     rates = {r.quality: r.rate for r in rows.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("rate")).collect()}
     assert rates[1] >= 0.98 and rates[0] <= 0.05
+
+
+def test_each_metric_rejects_by_itself(spark, monkeypatch):
+    """A row that the fixed rules pass goes for one metric alone: with that one's slack widened, it stays."""
+    words = [f"some{k}word" for k in range(60)]
+    lines = [" ".join(words[i : i + 3]) for i in range(0, 24, 3)]
+    odd = {
+        "word_length": " ".join(f"averyverylongword{k}withmoretocome" for k in range(40)),
+        "symbols": " ".join(words[:40]) + " ########",
+        "dup_lines": "\n".join([*lines, lines[0], lines[2], lines[4], lines[6]]),
+        "repeats": " ".join(words[:20] + words[30:60] + words[10:15]),
+        "echoes": " ".join(w for k in range(40) for w in [words[k]] * (2 if k % 8 == 0 else 1)),
+        "upper": " ".join(w.upper() if k % 4 == 0 else w for k, w in enumerate(words[:40])),
+    }
+    assert set(odd) == set(quality.METRICS)
+    rows = group(spark, "en", "prose", 100, prose) + [(1000 + i, t, "en", "prose") for i, t in enumerate(odd.values())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plain = dict(quality.METRICS)
+
+    def kept(metric=None):
+        metrics = {n: (v, 10**9 if n == metric else slack, low) for n, (v, slack, low) in plain.items()}
+        monkeypatch.setattr(quality, "METRICS", metrics)
+        got = quality.judge(frame).where("doc_id >= 1000 AND NOT base_failed").collect()
+        assert len(got) == len(odd)
+        return {name for name, i in zip(odd, range(1000, 2000)) if any(r.doc_id == i and r.kept for r in got)}
+
+    assert kept() == set()
+    for metric in odd:
+        assert kept(metric) == {metric}
