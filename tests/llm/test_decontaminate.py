@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
+import regex
+
 from shelfcast.llm import decontaminate
 
 ITEM = "A farmer called Tom has 12 apples and sells 5 apples to Anna. How many apples does Tom have if Anna gives 5 back?"
@@ -102,3 +107,141 @@ def test_planted_passages_of_the_test_data(spark):
     want = {(r.doc_id, i) for r in docs.collect() for i, t in items if t in plain(r.text)}
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
     assert want and got == want
+
+
+def typed(text):
+    """(value, slot) of every token, by plain loops."""
+    raw = regex.findall(r"[0-9]+(?:[.,][0-9]+)*|\p{L}[\p{L}\p{M}]*|[%$€£]|[.!?\n]", text or "")
+    out = []
+    for before, token in zip(["\n", *raw], raw):
+        first = token[0]
+        if first.isdigit():
+            slot = "<number>"
+        elif token in decontaminate.SIGNS or (before[0].isdigit() and token.lower() in decontaminate.UNITS):
+            slot = "<unit>"
+        elif before not in decontaminate.ENDS and first.lower() != first and token.upper() != token:
+            slot = "<name>"
+        else:
+            slot = None
+        if token not in decontaminate.ENDS:
+            out.append((token.lower(), slot))
+    return out
+
+
+def windows_of(tokens, length, whole):
+    """Keys of the windows; ``whole`` is the usual length, below which the first token stands as in a text's start."""
+    out = []
+    for i in range(len(tokens) - length + 1):
+        part = tokens[i : i + length]
+        shown = [slot or value for value, slot in part]
+        if length < whole:
+            value, slot = part[0]
+            shown[0] = slot if slot and (slot == "<number>" or value in decontaminate.SIGNS) else value
+        out.append(tuple(shown) if any(not t.startswith("<") for t in shown) else ("values", *(v for v, _ in part)))
+    return out
+
+
+def brute(docs, items):
+    found = {}
+    for doc_id, text in docs:
+        for item_id, item_text in items:
+            here, there = typed(text), typed(item_text)
+            if not there:
+                continue
+            whole = decontaminate.WINDOW
+            length = min(len(there), whole)
+            if len(here) < whole and len(here) != length:
+                continue
+            mine, theirs = windows_of(here, length, whole), windows_of(there, length, whole)
+            need = decontaminate.SHARE * len(set(theirs))
+            if len(set(mine) & set(theirs)) < need:
+                continue
+            times = Counter(theirs)
+            lines = {pos: pos - theirs.index(key) for pos, key in enumerate(mine) if times[key] == 1}
+            close = []
+            for pos, key in enumerate(mine):
+                if key not in times:
+                    continue
+                before = [lines[p] for p in sorted(lines) if p <= pos][-1:]
+                after = [lines[p] for p in sorted(lines) if p >= pos][:1]
+                for line in [*before, *after, pos - theirs.index(key)]:
+                    if 0 <= pos - line < len(theirs) and theirs[pos - line] == key:
+                        close.append((pos, key, line))
+                        break
+            kept, pairs = [], {}
+            for line in {c[2] for c in close}:
+                own = [c for c in close if c[2] == line]
+                at = {pos - line + i for pos, _, _ in own for i in range(whole)}
+                slots = [
+                    (i, there[i][0], here[line + i][0])
+                    for i in sorted(at)
+                    if i < len(there) and 0 <= line + i < len(here) and there[i][1] and here[line + i][1]
+                ]
+                torn = set()
+                for old in {s[1] for s in slots}:
+                    counts = Counter(s[2] for s in slots if s[1] == old)
+                    if len(counts) > 1:
+                        most = max(counts.values())
+                        top = [v for v, n in counts.items() if n == most]
+                        taken = old if old in top else top[0] if len(top) == 1 else None
+                        torn |= {s[0] for s in slots if s[1] == old and s[2] != taken}
+                left = [c for c in own if not any(c[0] - line <= t < c[0] - line + whole for t in torn)]
+                kept += left
+                if left:
+                    pairs.setdefault("changed", set()).update(s[1] for s in slots if s[1] != s[2])
+            if kept and len({k for _, k, _ in kept}) >= need:
+                found[doc_id, item_id] = len(pairs["changed"])
+    return found
+
+
+def test_equals_brute_force_on_random_texts(spark):
+    rng = random.Random(11)
+    words = ["the", "box", "Tom", "Anna", "has", "3", "5", "7", "km", "%", "12", "of", "and"]
+
+    def text(n):
+        return " ".join(rng.choice(words) + rng.choice(["", "", "", "."]) for _ in range(n))
+
+    items = [(i, text(rng.choice([1, 2, 3, 5, 8, 9, 14, 25, 40]))) for i in range(25)]
+    items += [(25, "3 5 7 9 11 13 15 17 19 21 23"), (26, "box " * 30), (27, "Tom has 3 of the 5 km " * 5)]
+    docs = []
+    for i in range(120):
+        parts = [text(rng.randint(0, 20))]
+        for _ in range(rng.randint(0, 2)):
+            copied = rng.choice(items)[1].split()
+            for _ in range(rng.randint(0, 3)):
+                copied[rng.randrange(len(copied))] = rng.choice(words)
+            parts += [" ".join(copied) * rng.choice([1, 1, 3]), text(rng.randint(0, 10))]
+        docs.append((i, " ".join(parts)))
+    docs += [(200, "box " * 400), (201, ("box " * 9 + "Tom ") * 40), (202, "3 5 7 9 11 13 15 17 19 21 23 25"), (203, "Tom has 4 of the 6 km " * 30)]
+    want = brute(docs, items)
+    assert found(spark, docs, items) == want
+    assert len(want) > 30
+
+
+def test_windows_of_slots_alone_go_by_their_values(spark):
+    items = [(1, "3 5 7 9 11 13 15 17 19 21 23")]
+    hours = "Opening hours and prices: " + " ".join(str(n) for n in range(10, 130, 10))
+    assert found(spark, [(1, hours), (2, "Primes or not: 3 5 7 9 11 13 15 17 19 21 23 and so on")], items) == {(2, 1): 0}
+
+
+def test_repeated_windows_give_rows_in_proportion(spark, monkeypatch):
+    counted = {}
+    plain = decontaminate.stage
+
+    def counting(frame, label):
+        out = plain(frame, label)
+        counted[label] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "stage", counting)
+    items = [(i, " ".join(str(n % 3) for n in range(60))) for i in range(20)] + [(30, "box " * 50)]
+    docs = [(1, " ".join(str(n % 3) for n in range(400))), (2, "box " * 500)]
+    got = found(spark, docs, items)
+    assert set(got) == {*((1, i) for i in range(20)), (2, 30)}
+    assert counted["leak-close"] <= 20 * 400 + 500
+
+
+def test_a_million_digits_and_separators(spark):
+    texts = ["1." * 500_000 + "1", "1," * 500_000, "1,.," * 250_000, "7 " * 200_000]
+    short = [(3, "two more words"), (4, "1234567 7")]
+    assert found(spark, [(i, text + " " + ITEM) for i, text in enumerate(texts)], [(1, ITEM), *short]) == {(i, 1): 0 for i in range(4)}
