@@ -7,6 +7,9 @@ from __future__ import annotations
 
 import re
 
+from shelfcast.catalog.ensembles import FEATURES as TREE_FEATURES
+from shelfcast.catalog.ensembles import NODES
+
 VIEWS = {
     # --- stand-in tables
     "fx_sales": """
@@ -226,6 +229,34 @@ VIEWS = {
         FROM predicted""",
 }
 
+
+def _value(value) -> str:
+    return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+
+
+# The rows of the fixed ensemble, and the way of every row from the root of each tree to a leaf.
+VIEWS["nodes"] = (
+    "SELECT *, list_position(["
+    + ", ".join(f"'{name}'" for name in TREE_FEATURES)
+    + "], feature) AS f FROM (VALUES "
+    + ", ".join("(" + ", ".join(map(_value, node)) + ")" for node in NODES)
+    + ") AS v(model, tree, weight, node, feature, threshold, gap_left, l, r, value)"
+)
+VIEWS["walk"] = """
+        SELECT i.place, i.f AS fs, n.model, n.tree, 0 AS node
+        FROM inputs i JOIN nodes n ON n.node = 0 AND n.model = i.model
+        UNION ALL
+        SELECT w.place, w.fs, w.model, w.tree,
+               CASE WHEN w.fs[n.f] <= n.threshold OR (w.fs[n.f] IS NULL AND n.gap_left) THEN n.l ELSE n.r END
+        FROM walk w JOIN nodes n ON n.model = w.model AND n.tree = w.tree AND n.node = w.node
+        WHERE n.feature IS NOT NULL"""
+VIEWS["tree_scores"] = """
+        SELECT w.place, sum(n.weight * n.value) AS prediction
+        FROM walk w JOIN nodes n ON n.model = w.model AND n.tree = w.tree AND n.node = w.node
+        WHERE n.feature IS NULL GROUP BY w.place"""
+TREE_INPUTS = "[" + ", ".join(f"CAST({name} AS DOUBLE)" for name in TREE_FEATURES) + "] AS f"
+
+
 # Inputs that the generic views read under a fixed name.
 SRC_EXTRACT = {"src": "SELECT * FROM extract"}
 SRC_LABELLED = {"src": "SELECT * FROM labelled"}
@@ -246,10 +277,10 @@ def _sql(body: str, **inputs: str) -> str:
     names = re.compile(r"\b(" + "|".join(sorted(views, key=len, reverse=True)) + r")\b")
     ordered: list[str] = []
 
-    def need(text: str) -> None:
+    def need(text: str, own: str = "") -> None:
         for name in names.findall(re.sub(r"'[^']*'", "", text)):
-            if name not in ordered and re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
-                need(views[name])
+            if name not in ordered and name != own and re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
+                need(views[name], name)
                 if name not in ordered:
                     ordered.append(name)
 
@@ -258,6 +289,10 @@ def _sql(body: str, **inputs: str) -> str:
     return f"WITH {clauses}\n{body}"
 
 
+def _walked(body: str, **inputs: str) -> str:
+    return _sql(body, **inputs).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 GRAIN = "shop_id, product_id, t_date"
 WEEK = "rolling_week_sales, week_old, weekly_trend"
 SAME_DAY = "same_last_4_days, same_last_6_days"
@@ -367,6 +402,43 @@ def oracle_sql() -> dict[str, str]:
             "'rolling_6_min', 'bank_holiday_flag', 'school_holiday', 'Weather_Code', 'temp_code']) AS feature, "
             "CAST(1 AS INTEGER) AS weighed"
         ),
+        "score_trees": _walked(
+            "SELECT i.place.shop_id AS shop_id, i.place.product_id AS product_id, i.place.t_date AS t_date, prediction "
+            "FROM inputs i JOIN tree_scores s ON s.place = i.place",
+            inputs="SELECT {'shop_id': shop_id, 'product_id': product_id, 't_date': t_date} AS place, 0 AS model, "
+            f"{TREE_INPUTS} FROM rolled",
+            **PANEL_SALES,
+        ),
+        "score_routed": _walked(
+            "SELECT i.place.shop_id AS shop_id, i.place.product_id AS product_id, i.place.t_date AS t_date, "
+            "i.model AS cluster, prediction FROM inputs i LEFT JOIN tree_scores s ON s.place = i.place",
+            inputs="SELECT {'shop_id': a.shop_id, 'product_id': product_id, 't_date': t_date} AS place, "
+            f"c.cluster AS model, {TREE_INPUTS} FROM rolled a LEFT JOIN fx_clusters c ON c.shop_id = a.shop_id",
+            **PANEL_SALES,
+        ),
+        "score_in_order": _walked(
+            "SELECT i.place AS position, i.shop_id, i.product_id, i.t_date, i.qty, i.model AS cluster, prediction "
+            "FROM inputs i LEFT JOIN tree_scores s ON s.place = i.place ORDER BY position",
+            inputs=f"SELECT place, l.shop_id, product_id, t_date, qty, c.cluster AS model, {TREE_INPUTS} FROM ("
+            "SELECT *, qty AS rolling_week_sales, qty AS week_old, qty AS same_last_4_days, qty AS same_last_6_days, "
+            "qty AS rolling_4_days, qty AS rolling_6_max, qty / 25 AS weekly_trend, isodow(t_date) AS day_of_week, "
+            "0 AS weekend_flag FROM (SELECT row_number() OVER () - 1 AS place, l_suppkey // 4 AS shop_id, "
+            "CASE WHEN l_partkey % 64 = 7 THEN 8 ELSE l_partkey % 8 END AS product_id, "
+            "CAST(l_shipdate AS DATE) AS t_date, CAST(CASE WHEN l_partkey % 8 = 0 THEN ceil(l_quantity / 25) "
+            "WHEN l_partkey % 8 = 1 THEN l_quantity * 10 ELSE l_quantity END AS DOUBLE) AS qty FROM lineitem)) l "
+            "LEFT JOIN fx_clusters c ON c.shop_id = l.shop_id",
+        ),
+        "fit_stump": _sql(
+            f"SELECT {GRAIN}, qty, round(cut, 6) AS threshold, round(low, 6) AS low_mean, round(high, 6) AS high_mean, "
+            "round(CASE WHEN product_id <= cut THEN low ELSE high END, 6) AS prediction FROM fx_sales, ("
+            "SELECT cut, low, high FROM (SELECT (product_id + following) / 2 AS cut, s / n AS low, "
+            "(s_all - s) / (n_all - n) AS high, q_all - s * s / n - (s_all - s) * (s_all - s) / (n_all - n) AS loss "
+            "FROM (SELECT product_id, lead(product_id) OVER w AS following, sum(n) OVER w AS n, sum(s) OVER w AS s, "
+            "sum(n) OVER () AS n_all, sum(s) OVER () AS s_all, sum(q) OVER () AS q_all FROM ("
+            "SELECT product_id, count(*) AS n, sum(qty) AS s, sum(qty * qty) AS q FROM fx_sales GROUP BY 1) "
+            "WINDOW w AS (ORDER BY product_id)) WHERE following IS NOT NULL) ORDER BY loss, cut LIMIT 1)"
+        ),
+        "features_from_tail": _sql("SELECT * FROM ftable WHERE t_date >= DATE '2001-10-01'", **FEATURES),
         "rolling_7d_mean": _sql(f"SELECT {GRAIN}, mean_7d FROM week0", **PANEL_SALES),
         "rolling_7d_std": _sql(
             f"SELECT {GRAIN}, round(lag(s, 4) OVER (PARTITION BY shop_id, product_id ORDER BY t_date), 6) "

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast import standins as fx
+from shelfcast.catalog.ensembles import NODES
 from shelfcast.functions import floor_qty
 from shelfcast.functions.dates import parse_ymd
 from shelfcast.operators import (
@@ -21,11 +22,13 @@ from shelfcast.operators import (
     ranging,
     sales,
     scoring,
+    tail,
+    trees,
     weather,
 )
 from shelfcast.plans import pipeline
 from shelfcast.sources.schemas import CLUSTER_MODEL_COLUMNS, SINGLE_MODEL_COLUMNS
-from shelfcast.sources.tables import stage
+from shelfcast.sources.tables import stage, with_position
 
 GRAIN = checks.GRAIN
 
@@ -34,6 +37,17 @@ def _round(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
 
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, name: str, d: str, fit: Callable[[], object]):
+    """What ``fit`` gives, fitted once for an application and folder: queries on one model share it."""
+    key = (spark.sparkContext.applicationId, name, d)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
 # --- shared plans ---------------------------------------------------------------------
 
 
@@ -398,9 +412,65 @@ def impute_features(spark: SparkSession, d: str) -> DataFrame:
 
 def train_model(spark: SparkSession, d: str) -> DataFrame:
     """Importance of each model input after fitting on all training rows."""
-    table = stage(_split(_training_table(spark, d))[0], "train-model")
-    model = models.train(table, CLUSTER_MODEL_COLUMNS, "new_qty")
-    return models.feature_importances(model, spark)
+
+    def fit():
+        table = stage(_split(_training_table(spark, d))[0], "train-model")
+        return models.train(table, CLUSTER_MODEL_COLUMNS, "new_qty")
+
+    return models.feature_importances(_once(spark, "train_model", d, fit), spark)
+
+
+def fit_stump(spark: SparkSession, d: str) -> DataFrame:
+    """One tree of depth one on one feature, by the usual training: its split, its leaves, and the predictions."""
+    sold = stage(fx.daily_sales(spark, d).select(*GRAIN, "qty"), "stump")
+    model = models.train(sold, ["product_id"], "qty", trees=1, depth=1)
+    root, low, high = sorted(trees.model_nodes(model), key=lambda node: node.node)
+    scored = models.predict(model, sold, "prediction")
+    shown = {"threshold": root.threshold, "low_mean": low.value, "high_mean": high.value}
+    return _round(scored.withColumns({name: F.lit(value) for name, value in shown.items()}), *shown, "prediction")
+
+
+def _unfilled(spark: SparkSession, d: str) -> DataFrame:
+    """Sales with their window features, missing where a series has just begun."""
+    return features.rolling_features(fx.daily_sales(spark, d))
+
+
+def score_trees(spark: SparkSession, d: str) -> DataFrame:
+    """The fixed ensemble of cluster 0 on all sales, gaps included."""
+    return trees.score_nodes(_unfilled(spark, d), [n for n in NODES if n.model == 0]).select(*GRAIN, "prediction")
+
+
+def score_routed(spark: SparkSession, d: str) -> DataFrame:
+    """Each row with the fixed ensemble of its cluster, in one pass; clusters without one get NULL."""
+    rows = _unfilled(spark, d).join(fx.clusters(spark, d).select("shop_id", "cluster"), "shop_id", "left")
+    return trees.score_nodes(rows, NODES, key="cluster").select(*GRAIN, "cluster", "prediction")
+
+
+def score_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines routed by their shop's cluster and put back into the order of the input's rows."""
+    lines = with_position(fx.lines(spark, d), "position")
+    rows = lines.join(fx.clusters(spark, d).select("shop_id", "cluster"), "shop_id", "left").withColumns(
+        {name: F.col("qty") for name in ("rolling_week_sales", "week_old", "same_last_4_days", "same_last_6_days", "rolling_4_days", "rolling_6_max")}
+        | {"weekly_trend": F.col("qty") / 25, "day_of_week": F.weekday("t_date") + 1, "weekend_flag": F.lit(0)}
+    )
+    scored = trees.score_nodes(rows, NODES, key="cluster")
+    return scored.orderBy("position").select("position", *GRAIN, "qty", "cluster", "prediction")
+
+
+def features_from_tail(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table of the last weeks, from the stored tail of each series and the new rows alone.
+
+    The tail is first stored as of an earlier day and brought forward by the rows since, as daily runs do.
+    """
+    base = _base(spark, d)
+    first, last = parse_ymd(fx.RECENT_TAIL), parse_ymd(fx.SCORING_AS_OF)
+    tails = stage(pipeline.feature_tail(base, first).withColumn("as_of", F.lit(first)), "tails", ["as_of"])
+    between = sales.drop_outliers(base).where((F.col("t_date") >= F.lit(first)) & (F.col("t_date") < F.lit(last)))
+    moved = tail.advance_tail(tails.where(F.col("as_of") == F.lit(first)).drop("as_of"), between, last)
+    tails = stage(moved.withColumn("as_of", F.lit(last)), "tails", ["as_of"])
+    stored = tails.where(F.col("as_of") == F.lit(last)).drop("as_of")
+    coded = _coded(spark, d, pipeline.kept_sales(base))
+    return pipeline.daily_features(stored, base, last, fx.weather_sites(spark, d), coded)
 
 
 def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
@@ -408,21 +478,13 @@ def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
         fx.daily_sales(spark, d), fx.clusters(spark, d), _stored_quarters(spark, d), fx.TRAIN_START, fx.TEST_END
     )
     flagged = stage(outliers.flag_outliers(stage(rows, "training-sales")), "flagged")
-    result = pipeline.train_cluster(
-        flagged,
-        fx.weather_sites(spark, d),
-        _coded(spark, d, pipeline.kept_sales(flagged)),
-        fx.holidays(spark, d),
-        start=fx.TRAIN_START,
-        train_end=fx.TRAIN_END,
-        test_end=fx.TEST_END,
-        closed=True,
-    )
-    return result.scored
+    options = {"start": fx.TRAIN_START, "train_end": fx.TRAIN_END, "test_end": fx.TEST_END, "closed": True}
+    coded = _coded(spark, d, pipeline.kept_sales(flagged))
+    return pipeline.train_cluster(flagged, fx.weather_sites(spark, d), coded, fx.holidays(spark, d), **options).scored
 
 
 def _cluster_models(spark: SparkSession, d: str):
-    """Scoring rows, stored by cluster, and a model per cluster fitted on all its earlier rows.
+    """Scoring rows, and a model per cluster fitted on all its earlier rows.
 
     Features are worked out once, for history and scoring days together. History keeps its range flag;
     rows to score count as in range. A cluster without history has no model; its rows come back without
@@ -431,14 +493,18 @@ def _cluster_models(spark: SparkSession, d: str):
     table = dataset.add_holidays(_feature_table(spark, d, ["out_of_range"]), fx.holidays(spark, d))
     table = stage(table, "cluster-features", ["cluster"], rebalance=True)
     day = F.lit(parse_ymd(fx.SCORING_AS_OF))
-    history = table.where((F.col("t_date") < day) & F.col("cluster").isin(*scoring.CLUSTERS))
-    present = {row["cluster"] for row in history.select("cluster").distinct().collect()}  # of six at most
-    parts = {cluster: history.where(F.col("cluster") == cluster) for cluster in present}
-    by_cluster = models.train_each(parts, CLUSTER_MODEL_COLUMNS, "new_qty")
+
+    def fit():
+        history = table.where((F.col("t_date") < day) & F.col("cluster").isin(*scoring.CLUSTERS))
+        present = {row["cluster"] for row in history.select("cluster").distinct().collect()}  # of six at most
+        parts = {cluster: history.where(F.col("cluster") == cluster) for cluster in present}
+        return models.train_each(parts, CLUSTER_MODEL_COLUMNS, "new_qty")
+
+    by_cluster = _once(spark, "clusters", d, fit)
     rows = dataset.scoring_input(
         table.drop("school_holiday", "shop_name"), fx.holidays(spark, d), fx.clusters(spark, d), fx.SCORING_AS_OF
     )
-    return stage(rows, "scoring", ["cluster"], rebalance=True), by_cluster
+    return stage(rows, "scoring"), by_cluster
 
 
 def score_by_cluster(spark: SparkSession, d: str) -> DataFrame:
@@ -478,14 +544,18 @@ def compare_fitted(spark: SparkSession, d: str) -> DataFrame:
     features = stage(_feature_table(spark, d, ["out_of_range"]), "features")
     rows = dataset.add_holidays(features, fx.holidays(spark, d))
     history = stage(rows.where(F.col("t_date") < F.lit(parse_ymd(fx.TRAIN_END))), "history")
-    first, second = (models.train(history, CLUSTER_MODEL_COLUMNS, "new_qty", depth=depth) for depth in (2, 3))
+
+    def fit(depth):
+        return models.train(history, CLUSTER_MODEL_COLUMNS, "new_qty", depth=depth)
+
+    first, second = (_once(spark, f"compared-{depth}", d, lambda depth=depth: fit(depth)) for depth in (2, 3))
     return pipeline.compare_fitted(features, fx.holidays(spark, d), first, second)
 
 
 def score_single(spark: SparkSession, d: str) -> DataFrame:
     table = stage(_lag_feature_table(spark, d), "lag-features")
     history = table.where(F.col("t_date") < F.lit(parse_ymd(fx.SCORING_AS_OF)))
-    model = models.train(history, SINGLE_MODEL_COLUMNS, "qty")
+    model = _once(spark, "single", d, lambda: models.train(history, SINGLE_MODEL_COLUMNS, "qty"))
     return scoring.score_single(table, model, fx.SCORING_AS_OF)
 
 
@@ -500,7 +570,8 @@ REGISTERED = [
     train_test_split, train_test_split_open, forecast_scores, forecast_metrics, forecast_r2,
     compare_models, comparison_means, accuracy_by_group, impute_features, train_model,
     train_and_evaluate, score_by_cluster, score_single, anomaly_table_recent, score_by_cluster_rows,
-    score_single_rows, train_and_evaluate_rows, train_model_inputs, compare_fitted,
+    score_single_rows, train_and_evaluate_rows, train_model_inputs, compare_fitted, score_trees,
+    score_routed, score_in_order, fit_stump, features_from_tail,
 ]
 
 

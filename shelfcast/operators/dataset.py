@@ -87,13 +87,17 @@ def scoring_input(
     holidays: DataFrame,
     clusters: DataFrame,
     as_of: str | dt.date | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Model inputs from the run date on, with cluster; a missing school holiday counts as 0."""
+    """Model inputs from the run date on, with cluster; a missing school holiday counts as 0.
+
+    ``extra`` columns of the features, such as an input position, follow.
+    """
     days = holidays.select("shop_id", F.col("date").alias("t_date"), "school_holiday").distinct()
     shops = clusters.select("shop_id", "cluster")
     kept = from_date(features, as_of).drop("cluster", "school_holiday", "out_of_range")
     joined = kept.join(days, ["shop_id", "t_date"], "left").join(shops, "shop_id", "left")
-    columns = [*CLUSTER_MODEL_COLUMNS[:2], "t_date", *CLUSTER_MODEL_COLUMNS[2:], "cluster"]
+    columns = [*CLUSTER_MODEL_COLUMNS[:2], "t_date", *CLUSTER_MODEL_COLUMNS[2:], "cluster", *extra]
     return project(
         joined.withColumns(
             {"out_of_range": F.lit(0), "school_holiday": F.coalesce("school_holiday", F.lit(0))}

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators import dataset, lags, metrics, models, outliers, sales, scoring
+from shelfcast.operators import dataset, lags, metrics, models, outliers, sales, scoring, tail
 from shelfcast.operators.checks import GRAIN, project
 from shelfcast.operators.features import sales_features
 from shelfcast.operators.weather import add_weather
@@ -75,6 +75,22 @@ def feature_table(base: DataFrame, sites: DataFrame, coded: DataFrame, extra: Se
     return dataset.feature_table(base, sites, coded, extra=extra)
 
 
+def feature_tail(base: DataFrame, before: str | dt.date) -> DataFrame:
+    """The tail of a base table: the rows that features from a date on reach back to."""
+    return tail.series_tail(sales.drop_outliers(base), before)
+
+
+def daily_features(
+    stored: DataFrame, new: DataFrame, start: str | dt.date, sites: DataFrame, coded: DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The feature table from ``start`` on, of the stored tail before it and the new rows of the base table.
+
+    Equal to the last days of the whole table, without its history. Stage the coded forecasts.
+    """
+    rows = tail.with_tail(stored, sales.drop_outliers(new), start)
+    return sales.from_date(dataset.feature_table(rows, sites, coded, extra=extra), start)
+
+
 def training_sales(
     daily_sales: DataFrame,
     clusters: DataFrame,
@@ -116,7 +132,7 @@ def train_cluster(
 def score_clusters(
     rows: DataFrame, by_cluster: Mapping[int, PipelineModel], *, keep_unrouted: bool = False
 ) -> DataFrame:
-    """Scores of all clusters. Stage the rows (``dataset.scoring_input``) by cluster."""
+    """Scores of all clusters, in one pass over the rows (``dataset.scoring_input``)."""
     return scoring.score_by_cluster(rows, by_cluster, keep_unrouted=keep_unrouted)
 
 

@@ -8,6 +8,7 @@ from shelfcast.sources.tables import (
     save_series_table,
     shared_dir,
     stage,
+    with_position,
     write_csv,
     write_parquet,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "save_series_table",
     "shared_dir",
     "stage",
+    "with_position",
     "write_csv",
     "write_parquet",
 ]

@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType, StructType
 
@@ -60,8 +60,9 @@ def read_table(
     schema: StructType | None = None,
     *,
     keep_extra: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
-    """Read a configured table with its declared schema."""
+    """Read a configured table with its declared schema; ``position`` names a column for each row's place in its files."""
     if name not in conf:
         raise KeyError(f"no location configured for table {name!r}")
     entry = conf[name]
@@ -75,7 +76,25 @@ def read_table(
         df = spark.read.format("jdbc").options(**entry["options"]).load()
     else:
         df = spark.read.format(kind).options(**entry.get("options", {})).load(entry["path"])
-    return conform(df, schema, keep_extra=keep_extra)
+    if position is None:
+        return conform(df, schema, keep_extra=keep_extra)
+    df = with_position(df, position)
+    places = StructType([*schema.fields, df.schema[position]])
+    return conform(df, places, keep_extra=keep_extra)
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """Add the place of each row in the input: files in the order of their paths, rows in the order of the file.
+
+    For frames read straight from parquet files, or a table of them. The place does not depend on how the
+    files are cut into tasks, so it survives joins, routing and retries, and a sort by it restores the input.
+    """
+    marked = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    files = marked.groupBy("_file").agg((F.max("_row") + 1).alias("_rows"))
+    starts = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    placed = marked.join(starts, "_file").withColumn(name, F.col("_start") + F.col("_row"))
+    return placed.select(*[F.col(f"`{column}`") for column in df.columns], name)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = "\t") -> DataFrame:
@@ -87,14 +106,17 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
     return conform(df, schema)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", order_by: Iterable[str] = ()) -> None:
+def write_csv(
+    df: DataFrame, path: str, sep: str = ",", order_by: Iterable[str] = (), drop: Iterable[str] = ()
+) -> None:
     """Write delimited part files with a header.
 
     With ``order_by`` the rows are in order within the files and from one file to the next: a range
-    sort, so no task holds more than its share.
+    sort, so no task holds more than its share. Columns to ``drop``, such as an input position, order the
+    rows and are not written.
     """
     order_by = list(order_by)
-    out = df.orderBy(*order_by) if order_by else df
+    out = (df.orderBy(*order_by) if order_by else df).drop(*drop)
     out.write.mode("overwrite").csv(path, header=True, sep=sep)
 
 
@@ -128,12 +150,18 @@ def save_series_table(df: DataFrame, table: str, buckets: int) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; where it names none, one in the warehouse.
+    """The folder the cluster names in ``spark.checkpoint.dir``: storage that all executors share.
 
-    Both are storage that all executors share. The answer is the same all through a session.
+    Where none is named, a local session takes a folder in its warehouse; on a cluster that folder may be one of the
+    driver's own disk, so the job stops.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def _staging_folder(spark: SparkSession) -> str:

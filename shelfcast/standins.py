@@ -24,6 +24,8 @@ RARE = 64
 # Fixed run dates in place of today.
 RECENT_AS_OF = "20011105"
 SCORING_AS_OF = "20011001"
+# The day of the first stored tail, some weeks before scoring.
+RECENT_TAIL = "20010901"
 TRAIN_START, TRAIN_END, TEST_END = "19960101", "20000101", "20010101"
 
 
@@ -41,10 +43,11 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The order lines as sales of a shop, before they are summed by day."""
     part, qty = F.col("l_partkey"), F.col("l_quantity")
     rare = part % RARE == PRODUCTS - 1
-    lines = _read(spark, folder, "lineitem").select(
+    return _read(spark, folder, "lineitem").select(
         F.expr(f"l_suppkey div {SUPPLIERS_PER_SHOP}").alias("shop_id"),
         F.when(rare, F.lit(PRODUCTS)).otherwise(part % PRODUCTS).cast("long").alias("product_id"),
         F.to_date("l_shipdate").alias("t_date"),
@@ -54,8 +57,11 @@ def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
         .cast("double")
         .alias("qty"),
     )
+
+
+def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
     iso_day = F.weekday("t_date") + 1
-    sales = lines.groupBy("shop_id", "product_id", "t_date").agg(F.sum("qty").alias("qty"))
+    sales = lines(spark, folder).groupBy("shop_id", "product_id", "t_date").agg(F.sum("qty").alias("qty"))
     return conform(
         sales.select(
             "*",

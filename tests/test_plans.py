@@ -156,4 +156,4 @@ def test_hot_series_is_split(spark, day):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert len(queries()) == 62
+    assert len(queries()) == 67
