@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAIN = ["shop_id", "product_id", "t_date"]
@@ -39,14 +39,19 @@ def guard_grain(df: DataFrame, series: Sequence[str] = GRAIN[:2], date: str = "t
     )
 
 
-def profile(df: DataFrame, date: str = "t_date") -> DataFrame:
-    """First and last date, number of rows and of columns, in one pass."""
-    return df.agg(
+def profile_figures(df: DataFrame, date: str = "t_date") -> list[Column]:
+    """First and last date, number of rows and of columns, as aggregates."""
+    return [
         F.min(date).alias("min_date"),
         F.max(date).alias("max_date"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.lit(len(df.columns)).alias("n_columns"),
-    )
+        F.max(F.lit(len(df.columns))).alias("n_columns"),
+    ]
+
+
+def profile(df: DataFrame, date: str = "t_date") -> DataFrame:
+    """First and last date, number of rows and of columns, in one pass."""
+    return df.agg(*profile_figures(df, date)).withColumn("n_columns", F.lit(len(df.columns)))
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:

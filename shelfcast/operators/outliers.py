@@ -7,7 +7,7 @@ join, and not at all when the cells are small enough to broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.rules import outlier_flag
@@ -102,7 +102,12 @@ def flag_outliers(df: DataFrame) -> DataFrame:
     )
 
 
-def outlier_ratio(df: DataFrame) -> DataFrame:
-    """Share of outliers in percent; NULL for no rows. A separate, optional action."""
+def outlier_share() -> Column:
+    """Share of outliers in percent, as an aggregate; NULL for no rows."""
     share = F.try_divide(F.count(F.when(F.col("outlier") == 1, 1)).cast("double"), F.count(F.lit(1)))
-    return df.agg((share * 100.0).alias("outlier_ratio"))
+    return (share * 100.0).alias("outlier_ratio")
+
+
+def outlier_ratio(df: DataFrame) -> DataFrame:
+    """Share of outliers in percent; NULL for no rows. A job of its own; observed, the share comes with another."""
+    return df.agg(outlier_share())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.rules import clean_label, temp_code, temp_range
+from shelfcast.sources.tables import stage
 
 FORECAST_COLUMNS = [
     "ForecastDate", "MaxTemperature", "MinTemperature", "FeelsLikeTemperature", "SunshineHours",
@@ -53,11 +54,12 @@ def rank_labels(counts: DataFrame, label: str, code: str = "code") -> DataFrame:
 
     The labels are sorted over a fixed number of ranges and numbered inside each; a range starts
     where the ranges before it end, by a table of one count per range. A wide vocabulary, or very
-    many labels of one frequency, spread over all ranges.
+    many labels of one frequency, spread over all ranges. The bounds of the ranges are sampled, so the labels
+    are stored with their range: the counts and the numbers then rest on the same ranges. Runs a job.
     """
     ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("n_rows").desc(), F.col(label)]
-    spread = counts.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    spread = stage(counts.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "label-ranges")
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -82,6 +84,14 @@ def extend_codes(saved: DataFrame, fitted: DataFrame, label: str = "WeatherDescr
     return rank_labels(new, label, code).withColumn(code, F.col(code) + F.lit(top))
 
 
+def extended_codes(saved: DataFrame | None, fitted: DataFrame) -> DataFrame | None:
+    """The saved codes and those of labels that they lack; None where they lack none."""
+    if saved is None:
+        return fitted
+    new = stage(extend_codes(saved, fitted), "new-codes")
+    return saved.unionByName(new.select(*saved.columns)) if new.count() else None
+
+
 def fit_label_codes(df: DataFrame, label: str, code: str = "code") -> DataFrame:
     """Table of label, row count and code for the labels of ``df``; NULL has no code."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -2,17 +2,20 @@
 
 The config holds ``tables`` (see ``sources.tables``), and where a job needs them ``models``
 (folder of the cluster models), ``clusters`` (their ids, 0 to 5 by default), ``model`` (path of the
-single model), ``compare`` (paths of two models) and ``codes`` (path of the saved weather codes). ``--as-of`` fixes the run date; without it, it is the current date.
+single model), ``compare`` (paths of two models), ``codes`` (folder of the saved weather codes) and ``tails`` (folder
+of the stored tails). ``--as-of`` fixes the run date; without it, it is the current date.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from shelfcast.operators import dataset, metrics, outliers, sales, scoring, weather
+from shelfcast.functions.dates import as_of_date
+from shelfcast.operators import checks, dataset, metrics, outliers, sales, scoring, tail, weather
 from shelfcast.operators.checks import assert_unique_key
 from shelfcast.plans import pipeline
 from shelfcast.session import build_session
@@ -25,10 +28,14 @@ from shelfcast.sources import (
     read_table,
     save_model,
     stage,
+    update_versioned,
     write_csv,
     write_parquet,
 )
 
+POSITION = "_position"
+
+
 def _quarters(spark: SparkSession, tables: dict):
     """The launch calendar, staged: joined onto stored sales, its exact size is known to the planner."""
     quarters = stage(
@@ -52,11 +59,27 @@ def _stored(df, tables: dict, name: str):
     return df if tables[name].get("format", "parquet") in ("parquet", "orc", "table") else stage(df, name)
 
 
-def _write(df, args) -> None:
+def _write(df: DataFrame, args, figures: list[Column] = ()) -> dict:
+    """Write a result, and return ``figures`` of its rows, gathered by the tasks that write them.
+
+    With ``--by-run-date`` the run date is a partition of the output, and other dates' partitions stay.
+    """
+    partition_by = list(args.partition_by)
+    if args.by_run_date:
+        df, partition_by = df.withColumn("run_date", as_of_date(args.as_of)), ["run_date", *partition_by]
+    order_by = [POSITION] if POSITION in df.columns else args.order_by
+    seen = Observation()
+    if args.format == "csv" and order_by:
+        # Above the sort: below it, the job that samples the ranges would be counted as well.
+        df = df.orderBy(*order_by)
+    if figures:
+        df = df.observe(seen, *figures)
+    df = df.drop(POSITION)
     if args.format == "csv":
-        write_csv(df, args.out, args.sep, args.order_by)
+        write_csv(df, args.out, args.sep, partition_by=partition_by, keep_others=args.by_run_date)
     else:
-        write_parquet(df, args.out, args.partition_by, rebalance=bool(args.partition_by))
+        write_parquet(df, args.out, partition_by, rebalance=bool(args.partition_by), keep_others=args.by_run_date)
+    return seen.get if figures else {}
 
 
 def run_anomaly(spark: SparkSession, conf: dict, args) -> None:
@@ -64,10 +87,9 @@ def run_anomaly(spark: SparkSession, conf: dict, args) -> None:
     _shop_tables(spark, tables)
     daily = sales.recent_sales(read_table(spark, "daily_sales", tables), args.as_of)
     table = pipeline.anomaly_table(_stored(daily, tables, "daily_sales"), _quarters(spark, tables))
-    if args.report:
-        table = stage(table, "anomalies")
-        print(f"outlier ratio: {outliers.outlier_ratio(table).first()['outlier_ratio']} percent")
-    _write(table, args)
+    figures = [outliers.outlier_share(), *checks.profile_figures(table)] if args.report else []
+    if found := _write(table, args, figures):
+        print(f"outlier ratio: {found.pop('outlier_ratio')} percent; {found}")
 
 
 def run_base(spark: SparkSession, conf: dict, args) -> None:
@@ -94,29 +116,49 @@ def _coded_forecast(spark: SparkSession, conf: dict):
     tables = conf["tables"]
     sites, forecast = (read_table(spark, name, tables) for name in ("weather_sites", "weather_forecast"))
     fitted = stage(weather.fit_weather_codes(read_table(spark, "daily_sales", tables), sites, forecast), "codes")
-    path = conf.get("codes")
-    if path:
-        try:
-            saved = spark.read.parquet(path)
-            new = stage(weather.extend_codes(saved, fitted), "new-codes")
-            count = new.count()
-            if count:
-                print(f"new weather labels: {count}")
-                new.select(*saved.columns).write.mode("append").parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            write_parquet(fitted, path)
-        fitted = spark.read.parquet(path)
-        assert_unique_key(fitted, ["WeatherDescriptor"])  # two jobs that append at once are found here
+    if path := conf.get("codes"):
+        fitted = update_versioned(spark, path, lambda saved: weather.extended_codes(saved, fitted))
     return sites, stage(weather.code_forecast(forecast, fitted), "forecast")
 
 
 def run_features(spark: SparkSession, conf: dict, args) -> None:
-    base = read_table(spark, "base_table", conf["tables"])
+    """The whole feature table; with ``--report`` the rows that come in and go out are counted on the way."""
+    base = sales.drop_outliers(read_table(spark, "base_table", conf["tables"]).dropna(subset=checks.GRAIN))
+    entered = Observation()
     if args.report:
-        assert_unique_key(base)
-    _write(pipeline.feature_table(base, *_coded_forecast(spark, conf)), args)
+        base = base.observe(entered, F.count(F.lit(1)).alias("n_rows"))
+    table = pipeline.feature_table(base, *_coded_forecast(spark, conf))
+    found = _write(table, args, checks.profile_figures(table) if args.report else [])
+    if args.report:
+        if entered.get["n_rows"] != found["n_rows"]:
+            raise ValueError(f"{entered.get['n_rows']} rows became {found['n_rows']}: a joined table lists a key twice")
+        print(found)
+
+
+def run_tail(spark: SparkSession, conf: dict, args) -> None:
+    """The tail of the whole base table before the run date, stored as that date's partition of the tails."""
+    day = args.as_of or dt.date.today().isoformat()
+    _write_tail(pipeline.feature_tail(read_table(spark, "base_table", conf["tables"]), day), conf, day)
+
+
+def _write_tail(rows: DataFrame, conf: dict, before: str) -> None:
+    rows = rows.withColumn("as_of", as_of_date(before))
+    write_parquet(rows, conf["tails"], ["as_of"], rebalance=True, keep_others=True)
+
+
+def run_daily_features(spark: SparkSession, conf: dict, args) -> None:
+    """Features from the run date on, of the tail before it and the new rows of the base table.
+
+    With ``--next`` the tail before that later date is stored too, for the next run.
+    """
+    day = args.as_of or dt.date.today().isoformat()
+    base = read_table(spark, "base_table", conf["tables"]).where(F.col("t_date") >= as_of_date(day))
+    stored = spark.read.parquet(conf["tails"]).where(F.col("as_of") == as_of_date(day)).drop("as_of")
+    if not stored.take(1):
+        raise ValueError(f"no tail is stored for {day}")
+    _write(pipeline.daily_features(stored, base, day, *_coded_forecast(spark, conf)), args)
+    if args.next:
+        _write_tail(tail.advance_tail(stored, sales.drop_outliers(base), args.next), conf, args.next)
 
 
 def run_train(spark: SparkSession, conf: dict, args) -> None:
@@ -137,13 +179,15 @@ def run_train(spark: SparkSession, conf: dict, args) -> None:
 
 
 def run_score_clusters(spark: SparkSession, conf: dict, args) -> None:
-    """Scores by cluster; rows that no model takes are counted, and leave unless they are to be kept."""
-    features, holidays, clusters = (
-        read_table(spark, name, conf["tables"]) for name in ("feature_table", "holidays", "clusters")
-    )
-    rows = stage(
-        dataset.scoring_input(features, holidays, clusters, args.as_of), "scoring", ["cluster"], rebalance=True
-    )
+    """Scores by cluster; rows that no model takes are counted, and leave unless they are to be kept.
+
+    With ``--input-order`` a CSV holds the rows in the order of the feature table's files.
+    """
+    tables, position = conf["tables"], POSITION if args.input_order else None
+    features = read_table(spark, "feature_table", tables, position=position)
+    holidays, clusters = (read_table(spark, name, tables) for name in ("holidays", "clusters"))
+    rows = dataset.scoring_input(features, holidays, clusters, args.as_of, [position] if position else [])
+    rows = stage(rows, "scoring")
     by_cluster = load_models(conf["models"], conf.get("clusters", scoring.CLUSTERS))
     for row in scoring.unrouted(rows, by_cluster).orderBy("cluster").toLocalIterator():
         print(f"no model for cluster {row['cluster']}: {row['n_rows']} rows")
@@ -176,6 +220,8 @@ JOBS = {
     "lag-features": run_lag_features,
     "compare": run_compare,
     "features": run_features,
+    "tail": run_tail,
+    "daily-features": run_daily_features,
     "train": run_train,
     "score-clusters": run_score_clusters,
     "score-single": run_score_single,
@@ -190,11 +236,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--sep", default=",")
     parser.add_argument("--order-by", nargs="*", default=[], help="columns that order a CSV output")
+    parser.add_argument("--input-order", action="store_true", help="write scores in the order of the feature table")
+    parser.add_argument("--by-run-date", action="store_true", help="replace the run date's partition of the output only")
+    parser.add_argument("--next", help="with daily-features: also store the tail before this date")
     parser.add_argument("--keep-unrouted", action="store_true", help="also write rows that no model takes")
     parser.add_argument("--partition-by", nargs="*", default=[])
     parser.add_argument("--as-of")
     parser.add_argument("--cluster", type=int, default=3)
-    parser.add_argument("--report", action="store_true", help="also run the optional checks")
+    parser.add_argument("--report", action="store_true", help="also print figures of the result, gathered while it is written")
     args = parser.parse_args(argv)
     args.sep = args.sep.replace("\\t", "\t")
     spark = build_session()

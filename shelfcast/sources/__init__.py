@@ -12,20 +12,25 @@ from shelfcast.sources.tables import (
     write_csv,
     write_parquet,
 )
+from shelfcast.sources.versions import latest_version, publish_version, read_version, update_versioned
 
 __all__ = [
     "cluster_path",
     "conform",
     "drop_staged",
+    "latest_version",
     "load_config",
     "load_model",
     "load_models",
+    "publish_version",
     "read_delimited",
     "read_table",
+    "read_version",
     "save_model",
     "save_series_table",
     "shared_dir",
     "stage",
+    "update_versioned",
     "with_position",
     "write_csv",
     "write_parquet",

@@ -107,31 +107,42 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
 
 
 def write_csv(
-    df: DataFrame, path: str, sep: str = ",", order_by: Iterable[str] = (), drop: Iterable[str] = ()
+    df: DataFrame,
+    path: str,
+    sep: str = ",",
+    order_by: Iterable[str] = (),
+    drop: Iterable[str] = (),
+    *,
+    partition_by: Iterable[str] = (),
+    keep_others: bool = False,
 ) -> None:
     """Write delimited part files with a header.
 
     With ``order_by`` the rows are in order within the files and from one file to the next: a range
     sort, so no task holds more than its share. Columns to ``drop``, such as an input position, order the
-    rows and are not written.
+    rows and are not written. ``keep_others`` is as in ``write_parquet``.
     """
     order_by = list(order_by)
     out = (df.orderBy(*order_by) if order_by else df).drop(*drop)
-    out.write.mode("overwrite").csv(path, header=True, sep=sep)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep_others else "static")
+    if partition_by := list(partition_by):
+        writer = writer.partitionBy(*partition_by)
+    writer.csv(path, header=True, sep=sep)
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Iterable[str] = (), *, rebalance: bool = False
+    df: DataFrame, path: str, partition_by: Iterable[str] = (), *, rebalance: bool = False, keep_others: bool = False
 ) -> None:
     """Write a stage's result for the next one.
 
     ``rebalance`` groups rows by the partition columns first, so that few, well-sized files
-    result; adaptive execution splits a value that holds many rows over several tasks.
+    result; adaptive execution splits a value that holds many rows over several tasks. With ``keep_others``
+    only the partitions that have rows are replaced, and the table's other partitions stay as they are.
     """
     partition_by = list(partition_by)
     if rebalance:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep_others else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -6,13 +6,14 @@ import glob
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import standins as fx
-from shelfcast.operators import models
+from shelfcast.operators import checks, models, outliers
 from shelfcast.plans import jobs, pipeline
-from shelfcast.sources import load_model, save_model
+from shelfcast.sources import latest_version, load_model, publish_version, read_version, save_model
 from shelfcast.sources.schemas import SINGLE_MODEL_COLUMNS
 
 SF = "/root/testdata/sf0.001"
@@ -34,6 +35,7 @@ def config(spark, tmp_path_factory):
         "model": f"{root}/single",
         "compare": [f"{root}/models/cluster_3", f"{root}/models/cluster_0"],
         "codes": f"{root}/codes",
+        "tails": f"{root}/tails",
         "training": {
             "from": "19950101", "to": "20010101", "start": "19960101", "train_end": "20000101",
             "test_end": "20010101", "closed": True, "trees": 2,
@@ -62,8 +64,8 @@ def test_all_jobs(spark, config, capsys):
     jobs.main(["features", "--config", path, "--out", f"{root}/feature_table", "--report"])
     features = read(f"{root}/feature_table")
     assert len(features.columns) == 38 and features.count() == base.where("outlier = 0").count()
-    codes = read(f"{root}/codes")
-    assert codes.count() > 0
+    codes = read_version(spark, f"{root}/codes", 1)
+    assert codes.count() > 0 and latest_version(spark, f"{root}/codes") == 1
 
     jobs.main(["train", "--config", path, "--out", f"{root}/scored", "--cluster", "3"])
     scored = read(f"{root}/scored")
@@ -72,13 +74,24 @@ def test_all_jobs(spark, config, capsys):
 
     # A second run finds no new labels; a label that the saved codes lack is appended.
     saved = {r.WeatherDescriptor: r.Weather_Code for r in codes.collect()}
-    codes.where("Weather_Code > 0").write.mode("overwrite").parquet(f"{root}/fewer")
-    spark.read.parquet(f"{root}/fewer").write.mode("overwrite").parquet(f"{root}/codes")
     jobs.main(["features", "--config", path, "--out", f"{root}/again"])
-    extended = {r.WeatherDescriptor: r.Weather_Code for r in read(f"{root}/codes").collect()}
+    assert latest_version(spark, f"{root}/codes") == 1
+    assert publish_version(codes.where("Weather_Code > 0"), f"{root}/codes", 2)
+    jobs.main(["features", "--config", path, "--out", f"{root}/again"])
+    extended = {r.WeatherDescriptor: r.Weather_Code for r in read_version(spark, f"{root}/codes", 3).collect()}
     first = next(label for label, code in saved.items() if code == 0)
     assert extended == saved | {first: max(saved.values()) + 1}
-    assert "new weather labels: 1" in capsys.readouterr().out
+    assert publish_version(codes, f"{root}/codes", 4)
+
+    # The last weeks from the stored tail, brought forward once, equal those of the whole table.
+    jobs.main(["tail", "--config", path, "--as-of", "20010801", "--out", ""])
+    jobs.main(["daily-features", "--config", path, "--out", f"{root}/day", "--as-of", "20010801", "--next", "20010915"])
+    jobs.main(["daily-features", "--config", path, "--out", f"{root}/later", "--as-of", "20010915"])
+    for folder, day in (("day", "2001-08-01"), ("later", "2001-09-15")):
+        whole = features.where(f"t_date >= '{day}'")
+        assert sorted(map(str, read(f"{root}/{folder}").collect())) == sorted(map(str, whole.collect())) and whole.count() > 0
+    with pytest.raises(ValueError, match="no tail"):
+        jobs.main(["daily-features", "--config", path, "--out", f"{root}/none", "--as-of", "20010916"])
 
     model = load_model(f"{root}/models/cluster_3")
     for cluster in (0, 1, 2, 4, 5):
@@ -94,6 +107,16 @@ def test_all_jobs(spark, config, capsys):
     files = sorted(glob.glob(f"{root}/predictions/part-*.csv"))
     keys = [tuple(map(int, line.split("\t")[:2])) for file in files for line in open(file).read().splitlines()[1:]]
     assert keys == sorted(keys)
+    jobs.main(["score-clusters", "--config", path, "--out", f"{root}/ordered", "--as-of", "20010601", "--format", "csv", "--input-order"])
+    files = sorted(glob.glob(f"{root}/ordered/part-*.csv"))
+    written = [tuple(line.split(",")[:3]) for file in files for line in open(file).read().splitlines()[1:]]
+    inputs = [
+        (str(shop), str(product), str(day)[:10])
+        for file in sorted(glob.glob(f"{root}/feature_table/*.parquet"))
+        for shop, product, day in pq.read_table(file, columns=["shop_id", "product_id", "t_date"]).to_pandas().itertuples(index=False)
+    ]
+    assert written == [key for key in inputs if key in set(written)] and len(written) == routed.count()
+
     jobs.main(["score-clusters", "--config", path, "--out", f"{root}/all", "--as-of", "20010601", "--keep-unrouted"])
     everything = read(f"{root}/all")
     assert everything.count() == scoring_rows.count() > routed.count()
@@ -131,3 +154,51 @@ def test_shops_listed_twice_stop_the_job(spark, config, tmp_path):
     (tmp_path / "conf.json").write_text(json.dumps(conf | {"tables": tables}))
     with pytest.raises(ValueError, match="duplicate key"):
         jobs.main(["base", "--config", f"{tmp_path}/conf.json", "--out", f"{tmp_path}/out"])
+
+
+def test_a_rerun_replaces_its_date_only(spark, config):
+    root, path, _ = config
+
+    def run(day):
+        jobs.main(["anomaly", "--config", path, "--out", f"{root}/by_date", "--as-of", day, "--by-run-date"])
+        return {str(r.run_date): r["count"] for r in spark.read.parquet(f"{root}/by_date").groupBy("run_date").count().collect()}
+
+    first = run("20011105")
+    both = run("20011005")
+    kept = sorted(glob.glob(f"{root}/by_date/run_date=2001-11-05/*.parquet"))
+    assert set(both) == {"2001-11-05", "2001-10-05"} and both["2001-11-05"] == first["2001-11-05"]
+    assert run("20011005") == both
+    assert sorted(glob.glob(f"{root}/by_date/run_date=2001-11-05/*.parquet")) == kept
+
+
+def test_a_report_runs_no_job_of_its_own(spark, config, capsys):
+    root, path, _ = config
+    tracker = spark.sparkContext.statusTracker()
+
+    def run(group, *more):
+        spark.sparkContext.setJobGroup(group, "")
+        jobs.main(["anomaly", "--config", path, "--out", f"{root}/{group}", "--as-of", "20011105", *more])
+        spark.sparkContext.setJobGroup("", "")
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert run("silent") == run("reported", "--report") == run("sorted", "--report")
+    table = spark.read.parquet(f"{root}/reported")
+    ratio = outliers.outlier_ratio(table).first().outlier_ratio
+    said = capsys.readouterr().out
+    assert f"outlier ratio: {ratio} percent" in said
+    figures = checks.profile(table).first().asDict()
+    assert all(f"'{name}': {value!r}" in said for name, value in figures.items())
+    run("csv", "--report", "--format", "csv", "--order-by", "shop_id", "t_date")
+    assert f"'n_rows': {figures['n_rows']}" in capsys.readouterr().out  # not twice, though the sort samples
+
+
+def test_rows_multiplied_by_a_join_stop_the_report(spark, config, tmp_path):
+    root, path, conf = config
+    if not glob.glob(f"{root}/base_table/*"):
+        jobs.main(["base", "--config", path, "--out", f"{root}/base_table"])
+    sites = spark.read.parquet(f"{root}/weather_sites")
+    sites.unionByName(sites).write.parquet(f"{tmp_path}/sites")
+    tables = conf["tables"] | {"weather_sites": {"path": f"{tmp_path}/sites"}}
+    (tmp_path / "conf.json").write_text(json.dumps(conf | {"tables": tables, "codes": f"{tmp_path}/codes"}))
+    with pytest.raises(ValueError, match="lists a key twice"):
+        jobs.main(["features", "--config", f"{tmp_path}/conf.json", "--out", f"{tmp_path}/out", "--report"])

@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast import standins as fx
 from shelfcast.catalog import oracle_sql, queries
 from shelfcast.operators import dataset, features, outliers, ranging, sales, weather
 from shelfcast.plans import pipeline
-from shelfcast.sources import stage
+from shelfcast.sources import stage, write_parquet
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,16 +95,14 @@ def test_flags_take_few_shuffles(spark, stored):
 
 
 def test_plan_builders_run_nothing(spark, stored):
-    """Building the plans starts no job."""
+    """Building the plans starts no job; fitting label codes does, and is not one of them."""
+    codes = weather.fit_weather_codes(stored, fx.weather_sites(spark, SF), fx.weather_forecast(spark, SF))
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("lazy", "plans only")
     quarters = sales.launch_calendar(fx.calendar(spark, SF), fx.launch_windows(spark, SF))
     totals, clusters = fx.shop_day_totals(spark, SF), fx.clusters(spark, SF)
     base = pipeline.base_table(stored, totals, clusters, quarters)
-    forecast = weather.code_forecast(
-        fx.weather_forecast(spark, SF),
-        weather.fit_weather_codes(base, fx.weather_sites(spark, SF), fx.weather_forecast(spark, SF)),
-    )
+    forecast = weather.code_forecast(fx.weather_forecast(spark, SF), codes)
     pipeline.feature_table(base, fx.weather_sites(spark, SF), forecast)
     pipeline.training_table(base, fx.weather_sites(spark, SF), forecast, fx.holidays(spark, SF))
     pipeline.lag_feature_table(stored, totals, clusters)
@@ -154,6 +153,23 @@ def test_hot_series_is_split(spark, day):
     assert sorted(map(str, rows)) == sorted(map(str, expected.collect()))
 
 
+def test_daily_features_read_one_tail_and_the_new_rows(spark, stored, tmp_path):
+    """The history is not scanned: one partition of the tails, and the base table from the run date on."""
+    base = pipeline.base_table(stored, fx.shop_day_totals(spark, SF), fx.clusters(spark, SF), stage(queries()["launch_calendar"](spark, SF), "q"))
+    base.write.parquet(f"{tmp_path}/base")
+    base = spark.read.parquet(f"{tmp_path}/base")
+    for day in ("2001-08-01", "2001-10-01"):
+        write_parquet(pipeline.feature_tail(base, day).withColumn("as_of", F.lit(day).cast("date")), f"{tmp_path}/tails", ["as_of"], keep_others=True)
+    tails = spark.read.parquet(f"{tmp_path}/tails").where("as_of = DATE '2001-10-01'").drop("as_of")
+    sites, forecast = fx.weather_sites(spark, SF), fx.weather_forecast(spark, SF)
+    coded = stage(weather.code_forecast(forecast, weather.fit_weather_codes(stored, sites, forecast)), "forecast")
+    text = plan(pipeline.daily_features(tails, base, "20011001", sites, coded))
+    assert "PartitionFilters: [isnotnull(as_of" in text and "as_of#" in text
+    assert "GreaterThanOrEqual(t_date,2001-10-01)" in text and text.count("tmp_path") == 0
+    rows = tails.count()
+    assert 0 < rows < base.where("outlier = 0 AND t_date < '2001-10-01'").count()
+
+
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
     assert len(queries()) == 67

@@ -114,14 +114,16 @@ def test_split(spark, day):
     assert dataset.split_by_date(df, day(1), day(4), day(7), closed=True)[1].count() == 4
 
 
-def test_many_labels_of_one_frequency(spark):
+def test_many_labels_of_one_frequency(spark, monkeypatch):
     """A wide vocabulary is numbered in many ranges, in the right order."""
     counts = spark.range(20_000).selectExpr("concat('l', lpad(id, 6, '0')) AS label", "IF(id % 1000 = 0, id + 2, 1) AS n_rows")
+    plain, stored = weather.stage, []
+    monkeypatch.setattr(weather, "stage", lambda df, name: stored.append(plain(df, name)) or stored[-1])
     ranked = weather.rank_labels(counts, "label")
     got = {r.label: r.code for r in ranked.collect()}
     rows = sorted((-r.n_rows, r.label) for r in counts.collect())
     assert got == {label: float(i) for i, (_, label) in enumerate(rows)}
-    assert "rangepartitioning" in ranked._jdf.queryExecution().executedPlan().toString()
+    assert stored[0].select("_range").distinct().count() == 8
 
 
 def test_saved_codes_keep_their_values(spark):
@@ -129,3 +131,16 @@ def test_saved_codes_keep_their_values(spark):
     fitted = spark.createDataFrame([("fog", 8, 1.0), ("sun", 2, 2.0), ("hail", 8, 5.0)], saved.schema)
     got = {r.WeatherDescriptor: r.Weather_Code for r in weather.extend_codes(saved, fitted).collect()}
     assert got == {"fog": 4.0, "hail": 5.0}
+
+
+def test_codes_do_not_hang_on_reused_exchanges(spark):
+    """Ranks and counts rest on the same ranges, whatever the planner reuses."""
+    counts = spark.range(300_000).selectExpr("concat('label', id) AS label", "1 + pmod(xxhash64(id), 5) AS n_rows").repartition(16)
+    before = spark.conf.get("spark.sql.exchange.reuse", "true")
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        codes = weather.rank_labels(counts, "label")
+        got = codes.selectExpr("count(DISTINCT code) AS codes", "min(code) AS low", "max(code) AS high", "count(*) AS n").first()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert tuple(got) == (300_000, 0.0, 299_999.0, 300_000)
