@@ -24,7 +24,8 @@ HEADLINE = [
     "same_weekday_means", "rolling_weekpart", "sales_features", "same_day_lags", "rolling_stats",
     "lag_feature_table", "weather_codes", "weather_features", "feature_table", "scoring_input",
     "forecast_metrics", "compare_models", "accuracy_by_group", "impute_features", "train_and_evaluate",
-    "train_model", "score_single", "score_by_cluster",
+    "train_model", "score_single", "score_by_cluster", "score_trees", "score_routed", "score_in_order",
+    "fit_stump", "features_from_tail",
 ]
 # Fits of a hundred trees each: run once, on code that the queries before them have compiled.
 FITS = {"train_and_evaluate", "train_model", "score_single", "score_by_cluster"}
