@@ -162,7 +162,7 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``earliest`` is the earliest place of an equal or near line, the line's own place if there is none
     before it; ``kept`` says which. Places order by id (nulls last), then line number. Lines of fewer
     than ``MIN_WORDS`` words are compared for equality only. Null texts and lines without words have no
-    row. Rows that repeat both id and text are one document and get equal results. Columns other than
+    row. Texts and lines are read whole, however long. Rows that repeat both id and text are one document and get equal results. Columns other than
     the two named are not read; an empty table gives an empty result.
     """
     lines = stage(_lines(docs, id_col, text_col), "lines")

@@ -272,8 +272,8 @@ def encode(
 
     ``round_trip`` says whether the decoded ids give the text again, a meta symbol in it read as the
     space it stands for. A null text has null ids, 0 tokens and a null ``round_trip``; an empty text no ids.
-    Repeated rows are encoded each; columns other than the two named are not read; an empty table gives
-    an empty result.
+    Whole texts are encoded, however long, chunk by chunk. Repeated rows are encoded each; columns other than
+    the two named are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     text_batches(spark)

@@ -135,7 +135,7 @@ def _find(texts: pd.Series) -> pd.DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The spans of every row: (id, pii array of kind, start, end, score).
 
-    Offsets are code points of the whole text. Null and empty texts have no spans. Repeated rows are
+    Offsets are code points of the whole text, however long. Null and empty texts have no spans. Repeated rows are
     scanned each; columns other than the two named are not read; an empty table gives an empty result.
     """
     text_batches(docs.sparkSession)

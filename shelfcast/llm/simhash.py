@@ -219,7 +219,7 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     ``component_id`` is the least id reachable over links, the row's own included; null where no row of
     the component has an id. Null and empty texts have fingerprint 0 and link like any other. Repeated
-    rows are all returned. Only the two named columns are read. An empty table gives an empty result.
+    rows are all returned. Every shingle of a text counts, however long it is. Only the two named columns are read. An empty table gives an empty result.
     """
     marked, found = _group(docs, id_col, text_col, carry=False)
     return marked.join(found, "print").select(id_col, "print", "component_id")
