@@ -1,12 +1,14 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-The model compiles to three parts. The normaliser writes a space as the meta symbol, with one in front. The
+The model compiles to three parts. The normaliser rewrites its input by the longest rule that fits at each
+place, from left to right, user-defined pieces untouched, and writes a space as the meta symbol, with one in front. The
 piece part has an arc for each vocabulary piece, from its characters to its id, and the byte fallback
 an arc from any character that no piece covers to the ids of its bytes. The weights live in the tropical
 semiring: paths add, alternatives take the minimum. A unigram model weighs an arc by its negated score.
 A BPE model has no weight of its own: there the link between neighbouring pieces is weighted, 0 if merging
 the two pieces' characters by rank gives back these two pieces, else infinity. A sequence of pieces is the
-result of the merges exactly if all its links are free, so one path of finite weight is left.
+result of the merges exactly if all its links are free, so one path of finite weight is left. A user-defined
+piece takes no part in merges: it cuts the text. In a unigram model it outweighs all other paths over its characters.
 
 Composing with an input gives a lattice over its positions, and the shortest path is found in one sweep.
 Since the last piece of the best path to a position is unique, positions are the only states.
@@ -39,6 +41,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 TABLE = 150_000
 TABLE_CHARS = 64
 UNKNOWN_PENALTY = 10.0
+USER_PENALTY = 0.1
 # Remembered links between pieces.
 LINKS = 1 << 20
 INFINITY = math.inf
@@ -52,21 +55,123 @@ def _one_by_one(error: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("replace-each", _one_by_one)
 
 
+def compile_charsmap(blob: bytes) -> dict[str, str]:
+    """The rewriting rules of a precompiled character map, from source to target.
+
+    The map holds the size of a double-array trie over UTF-8, the trie in words of 32 bits, and the targets, each ended
+    by a zero byte. All states of one depth are followed over all byte labels at once.
+    """
+    size = int.from_bytes(blob[:4], "little")
+    if len(blob) < 4 or size % 4 or not 0 < size <= len(blob) - 4:
+        raise ValueError("the character map is damaged")
+    units = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64)
+    targets = blob[4 + size :]
+    below = lambda unit: (unit >> 10) << ((unit & 1 << 9) >> 6)
+    labels = np.arange(1, 256)
+    rules: dict[str, str] = {}
+    states, sources = np.zeros(1, np.int64) ^ below(units[:1]), [b""]
+    while len(states):
+        places = states[:, None] ^ labels
+        known = places < len(units)
+        found = units[np.where(known, places, 0)]
+        rows, columns = np.nonzero(known & ((found & 0x800000FF) == labels))
+        units_there, places = found[rows, columns], places[rows, columns]
+        sources = [sources[row] + bytes([label]) for row, label in zip(rows.tolist(), labels[columns].tolist())]
+        states = places ^ below(units_there)
+        for i in np.nonzero(units_there & 1 << 8)[0].tolist():
+            start = int(units[states[i]] & 0x7FFFFFFF)
+            rules[sources[i].decode()] = targets[start : targets.index(b"\0", start)].decode()
+    return rules
+
+
+def _one_of(characters) -> str:
+    """Pattern of a character class, neighbouring code points as a range; of nothing, if there are none."""
+    codes = sorted(map(ord, characters))
+    if not codes:
+        return "(?!)"
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(rf"\U{a:08X}-\U{b:08X}" for a, b in ranges) + "]"
+
+
+class Normaliser:
+    """The rewriting part of a model, with its white-space rules."""
+
+    def __init__(self, spec: proto.NormalizerSpec, users: list[str]) -> None:
+        self.prefix, self.squeeze = spec.add_dummy_prefix, spec.remove_extra_whitespaces
+        self.rules = compile_charsmap(spec.precompiled_charsmap) if spec.precompiled_charsmap else {}
+        self.reach: dict[str, int] = {}
+        for source in self.rules:
+            self.reach[source[0]] = max(len(source), self.reach.get(source[0], 0))
+        # Where a rule may fit: its first character if it is the only one, else a character before some second one.
+        single = _one_of({source for source in self.rules if len(source) == 1})
+        second = _one_of({source[1] for source in self.rules if len(source) > 1})
+        own = "|".join(map(re.escape, sorted(users, key=len, reverse=True))) or "(?!)"
+        self.places = re.compile(f"({own})|{single}|.(?={second})", re.DOTALL)
+        self.identity = not self.rules and not users
+
+    def parts(self, text: str) -> Iterator[tuple[bool, str]]:
+        """The text in order, as runs that no rule touches (False) and as rule targets and user-defined pieces (True)."""
+        rules, done, at = self.rules, 0, 0
+        while found := self.places.search(text, at):
+            at = found.start()
+            if found[1]:
+                size, target = len(found[1]), found[1]
+            else:
+                reach = self.reach.get(text[at], 0)
+                size = next((n for n in range(min(reach, len(text) - at), 0, -1) if text[at : at + n] in rules), 0)
+                target = rules.get(text[at : at + size], "")
+            if size:
+                if done < at:
+                    yield False, text[done:at]
+                yield True, target
+                done = at + size
+            at += size or 1
+        if done < len(text):
+            yield False, text[done:]
+
+    def __call__(self, text: str) -> str:
+        if not text:
+            return text
+        if not self.squeeze:
+            if not self.identity:
+                text = "".join(part for _, part in self.parts(text))
+            return META * self.prefix + text.replace(" ", META)
+        out, spaced = [], True  # nothing but spaces so far counts as a space in front
+        for whole, part in self.parts(text):
+            if not whole:
+                part = re.sub(" +", " ", part)
+            if spaced:
+                part = part.lstrip(" ")
+            if part:
+                out.append(part)
+                spaced = part.endswith(" ")
+        text = "".join(out).replace(" ", META)
+        return (META * self.prefix + text).rstrip(META)
+
+
 class Transducer:
-    """Encoder and decoder of one serialised model. Normalisation rules other than identity are refused."""
+    """Encoder and decoder of one serialised model."""
 
     def __init__(self, model: bytes) -> None:
         spec = proto.ModelProto()
         spec.ParseFromString(model)
-        if spec.normalizer_spec.precompiled_charsmap:
-            raise ValueError("only the identity normaliser is supported")
+        if not spec.normalizer_spec.escape_whitespaces or spec.denormalizer_spec.precompiled_charsmap:
+            raise ValueError("plain spaces in pieces and rewriting after decoding are not supported")
         if spec.trainer_spec.model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are supported")
         if spec.trainer_spec.treat_whitespace_as_suffix:
             raise ValueError("white space as a suffix is not supported")
         self.merges = spec.trainer_spec.model_type == BPE
-        self.prefix = spec.normalizer_spec.add_dummy_prefix
-        self.squeeze = spec.normalizer_spec.remove_extra_whitespaces
+        if self.merges and any(piece.type == UNUSED for piece in spec.pieces):
+            raise ValueError("unused pieces of a BPE model are not supported")
+        users = [piece.piece for piece in spec.pieces if piece.type == USER]
+        self.normalise = Normaliser(spec.normalizer_spec, users)
+        self.prefix, self.squeeze = self.normalise.prefix, self.normalise.squeeze
         self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
         self.bytes: dict[int, int] = {}
@@ -82,6 +187,7 @@ class Transducer:
                 continue
             if piece.type in (NORMAL, USER):
                 self.ids[piece.piece] = i
+            if piece.type == NORMAL:
                 self.scores[piece.piece] = piece.score
             text = {UNKNOWN: " ⁇ ", CONTROL: ""}.get(piece.type, piece.piece.replace(META, " "))
             self.output.append(text.encode())
@@ -91,6 +197,12 @@ class Transducer:
                 self.spaced.add(i)
         self.longest = max(map(len, self.ids), default=1)
         self.worst = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
+        most = max(self.scores.values(), default=0.0)
+        self.user = None
+        if users and self.merges:
+            self.user = re.compile("(" + "|".join(map(re.escape, sorted(users, key=len, reverse=True))) + ")")
+        for piece in users:
+            self.scores[piece] = len(piece.encode()) * most - USER_PENALTY
         inner = any(META in p.lstrip(META) for p in self.ids)
         # Cuts stand before meta symbols, and around line ends where no piece has one.
         cut = "" if any("\n" in p for p in self.ids) else "\n"
@@ -106,11 +218,14 @@ class Transducer:
 
     # --- the parts ------------------------------------------------------------------------
 
-    def normalise(self, text: str) -> str:
-        text = text.replace(" ", META)
+    def surface(self, text: str) -> str:
+        """What decoding the ids of a text gives, if no character is unknown: the normalised text, in spaces."""
+        if self.normalise.identity and not self.squeeze:
+            return text.replace(META, " ")
+        text = self.normalise(text)
         if self.squeeze:
-            text = re.sub(f"{META}+", META, text).strip(META)
-        return META + text if text and self.prefix else text
+            return text.lstrip(META).replace(META, " ")
+        return text[self.prefix :].replace(META, " ")
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging by score, leftmost first, leaves of a short text."""
@@ -223,9 +338,18 @@ class Transducer:
 
     def encode(self, text: str) -> list[int]:
         """The ids of a whole text."""
+        text = self.normalise(text)
+        if self.user is None:
+            return self._encode(text)
+        out: list[int] = []
+        for i, part in enumerate(self.user.split(text)):
+            out += [self.ids[part]] if i % 2 else self._encode(part)
+        return out
+
+    def _encode(self, text: str) -> list[int]:
         out: list[int] = []
         young = self.young
-        for chunk in self.chunks.findall(self.normalise(text)):
+        for chunk in self.chunks.findall(text):
             found = young.get(chunk)
             if found is None:
                 found = self._chunk(chunk)
@@ -234,10 +358,32 @@ class Transducer:
         return out
 
     def decode(self, ids) -> str:
-        """The text of ids: their pieces in a row, without the space in front that encoding added."""
-        text = b"".join(map(self.output.__getitem__, ids)).decode("utf-8", "replace-each")
+        """The text of ids: their pieces in a row, without the space in front that encoding added.
+
+        Where the model removes extra white space, every piece loses its space as long as there is no text in front.
+        """
+        ids = list(ids)
+        if self.squeeze:
+            dropped, meta = 0, self.ids.get(META)
+            while dropped < len(ids) and (ids[dropped] in self.silent or ids[dropped] == meta):
+                dropped += 1
+            ids = ids[dropped:]
+        text = self._joined(ids)
         first = next((i for i in ids if i not in self.silent), None)
-        return text[1:] if self.prefix and first in self.spaced else text
+        return text[1:] if (self.prefix or self.squeeze) and first in self.spaced else text
+
+    def _joined(self, ids: list[int]) -> str:
+        """The output of ids in a row; the bytes on either side of a control piece make no character together."""
+        runs: list[list[bytes]] = [[]]
+        if self.silent.isdisjoint(ids):
+            runs[0] = [self.output[i] for i in ids]
+        else:
+            for i in ids:
+                if i in self.silent:
+                    runs.append([])
+                else:
+                    runs[-1].append(self.output[i])
+        return "".join(b"".join(run).decode("utf-8", "replace-each") for run in runs)
 
 
 _loaded: dict[bytes, Transducer] = {}
@@ -270,8 +416,8 @@ def encode(
 ) -> DataFrame:
     """Ids of every text: (id, ids array<int>, n_tokens), with ``verify`` also ``round_trip``.
 
-    ``round_trip`` says whether the decoded ids give the text again, a meta symbol in it read as the
-    space it stands for. A null text has null ids, 0 tokens and a null ``round_trip``; an empty text no ids.
+    ``round_trip`` says whether the decoded ids give the normalised text again (with the identity the text
+    itself), a meta symbol in it read as the space it stands for. A null text has null ids, 0 tokens and a null ``round_trip``; an empty text no ids.
     Whole texts are encoded, however long, chunk by chunk. Repeated rows are encoded each; columns other than
     the two named are not read; an empty table gives an empty result.
     """
@@ -287,7 +433,7 @@ def encode(
             out = [batch.column(0), _id_lists(ids), pa.array([0 if x is None else len(x) for x in ids], pa.int64())]
             names = [id_col, "ids", "n_tokens"]
             if verify:
-                same = [None if t is None else transducer.decode(x) == t.replace(META, " ") for t, x in zip(texts, ids)]
+                same = [None if t is None else transducer.decode(x) == transducer.surface(t) for t, x in zip(texts, ids)]
                 out.append(pa.array(same, pa.bool_()))
                 names.append("round_trip")
             yield pa.RecordBatch.from_arrays(out, names=names)

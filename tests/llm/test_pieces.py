@@ -67,14 +67,96 @@ def test_unigram_paths_are_the_shortest(fallback):
         assert got == want or (abs(weight(got) - weight(want)) < 1e-3 and ours.decode(got) == ours.decode(want)), text
 
 
-def test_a_charsmap_is_refused():
+RULES = ["nmt_nfkc", "nfkc_cf"]
+
+
+def charsmap(rule: str) -> bytes:
+    """A published rule set, as the library brings it along."""
+    spec = proto.ModelProto()
+    spec.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+    return spec.normalizer_spec.precompiled_charsmap
+
+
+def rewriting_model(kind: int, rule: str, squeeze: bool, fallback: bool, users: tuple[str, ...] = ()) -> bytes:
+    """A hand-made model over what the rules write, with merges that a BPE model can reach."""
     spec = proto.ModelProto()
-    spec.ParseFromString(unigram_model(False))
-    spec.normalizer_spec.precompiled_charsmap = b"x"
-    with pytest.raises(ValueError, match="identity"):
+    spec.ParseFromString(unigram_model(fallback))
+    spec.trainer_spec.model_type = kind
+    spec.normalizer_spec.precompiled_charsmap = charsmap(rule)
+    spec.normalizer_spec.remove_extra_whitespaces = squeeze
+    for i, piece in enumerate(["é", "fi", "f", "i", "1", "⁄", "2", "カ", "ガ", "각", "1⁄", "1⁄2", "fia", "x"]):
+        spec.pieces.add(piece=piece, score=-3.0 - i / 7, type=pieces.NORMAL)
+    for piece in users:
+        spec.pieces.add(piece=piece, score=0.0, type=pieces.USER)
+    return spec.SerializeToString()
+
+
+def mixed_texts(rules: dict[str, str], count: int, extra: str = "") -> list[str]:
+    dice, sources = random.Random(5), list(rules)
+    common = ["ﬁ", "½", "e\u0301", "ｶﾞ", "ｶ", "\u1100\u1161\u11a8", "\u3000", "\t", "\n", "\x01", " ", " ", "▁", *"abcdx", *extra]
+    draw = lambda: dice.choice(sources) if dice.random() < 0.2 else dice.choice(common)
+    return ["".join(draw() for _ in range(dice.randrange(25))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_every_rule_and_every_mixture_normalises_as_in_the_library(rule):
+    spec = proto.NormalizerSpec(precompiled_charsmap=charsmap(rule), add_dummy_prefix=True, escape_whitespaces=True)
+    rules = pieces.compile_charsmap(spec.precompiled_charsmap)
+    for squeeze in (False, True):
+        spec.remove_extra_whitespaces = squeeze
+        model = proto.ModelProto(normalizer_spec=spec).SerializeToString()
+        library = sentencepiece.SentencePieceNormalizer(
+            model_proto=model, add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=squeeze
+        )
+        ours = pieces.Normaliser(spec, [])
+        for text in [*list(rules)[::23], *mixed_texts(rules, 3000), "", " ", "\x01", " \x01 a", "\u3000" * 3, "▁ ▁"]:
+            assert ours(text) == library.normalize(text), (squeeze, text)
+
+
+@pytest.mark.parametrize("kind", [pieces.UNIGRAM, pieces.BPE])
+@pytest.mark.parametrize("squeeze", [False, True])
+@pytest.mark.parametrize("users", [(), ("<sep>", "<se", "½a", "c d")])
+def test_models_with_rules_and_own_pieces(kind, squeeze, users):
+    model = rewriting_model(kind, "nmt_nfkc", squeeze, fallback=True, users=users)
+    ours, library = pieces.Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = mixed_texts(ours.normalise.rules, 700) + ["", " ", "  ", "\x01", "ﬁa ½ ½a"]
+    dice = random.Random(8)
+    for text in texts + [u + t + dice.choice(users) + " " + t for u in users for t in texts[:200]]:
+        got, want = ours.encode(text), library.encode(text)
+        weight = lambda ids: sum(library.get_score(i) for i in ids)
+        tied = kind == pieces.UNIGRAM and abs(weight(got) - weight(want)) < 1e-3
+        assert got == want or (tied and ours.decode(got) == ours.decode(want)), text
+        assert ours.decode(got) == library.decode(got), text
+        if not squeeze or "▁" not in text:
+            assert ours.decode(got) == ours.surface(text), text
+    for _ in range(500):
+        ids = [dice.randrange(len(ours.output)) for _ in range(8)]
+        assert ours.decode(ids) == library.decode(ids), ids
+
+
+def test_what_is_refused():
+    for part, message in ((b"x", "damaged"), (b"\xff\xff\x00\x00abcd", "damaged")):
+        spec = proto.ModelProto()
+        spec.ParseFromString(unigram_model(False))
+        spec.normalizer_spec.precompiled_charsmap = part
+        with pytest.raises(ValueError, match=message):
+            pieces.Transducer(spec.SerializeToString())
+    spec.normalizer_spec.precompiled_charsmap = b""
+    spec.normalizer_spec.escape_whitespaces = False
+    with pytest.raises(ValueError, match="plain spaces"):
         pieces.Transducer(spec.SerializeToString())
 
 
+def test_rows_through_a_model_with_rules(spark, tmp_path):
+    path = tmp_path / "rules.model"
+    path.write_bytes(rewriting_model(pieces.UNIGRAM, "nmt_nfkc", True, fallback=True))
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    rows = [(1, "ﬁ\u3000a"), (1, "ﬁ\u3000a"), (None, "x"), (2, None), (3, ""), (4, "½ e\u0301\n" * 20_000), (5, "\x01")]
+    out = pieces.encode(spark.createDataFrame(rows, "doc_id long, text string"), str(path), verify=True)
+    got = {r.doc_id: (r.ids, r.round_trip) for r in out.collect()}
+    assert got == {i: (None, None) if t is None else (library.encode(t), True) for i, t in rows}
+
+
 def test_a_full_chunk_table_forgets(monkeypatch):
     monkeypatch.setattr(pieces, "TABLE", 3)
     ours, library = pieces.Transducer(pieces.read_model(MODEL)), sentencepiece.SentencePieceProcessor(model_file=MODEL)
