@@ -20,10 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import bounded, stage
+from shelfcast.llm.common import stage
 
 MIN_WORDS = 8
-BROADCAST_ROWS = 250_000
+# Words of 64 bits in the filter of candidate places: at most so many rows of two longs are broadcast.
+FILTER_WORDS = 1 << 20
 NONE = -1
 
 
@@ -114,13 +115,28 @@ def _without(words: Column, pos: Column) -> Column:
     return F.when(pos == NONE, words).otherwise(cut)
 
 
+def _passing(raw: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The raw lines that may be candidates: a bitmap over hashed places, of bounded size, lets all of these pass.
+
+    Others pass as often as their bit is set by chance, so fewer lines are shuffled for the join that decides;
+    with more candidates than bits the filter keeps less out, and the result is the same.
+    """
+    hashed = F.xxhash64("at")
+    word, bit = F.pmod(hashed, F.lit(FILTER_WORDS)), F.shiftrightunsigned(hashed, 58).cast("int")
+    one = F.expr("shiftleft(1L, bit)")
+    bitmap = wanted.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or(one).alias("bits"))
+    tried = raw.withColumn("word", word).join(F.broadcast(bitmap), "word")
+    return tried.where(F.getbit("bits", bit) == 1).select(*raw.columns)
+
+
 def _neighbours(distinct: DataFrame, raw: DataFrame) -> DataFrame:
     """(key, near): the earliest place of a line that is near the line with this key."""
     halves = distinct.where(F.col("n") >= MIN_WORDS).select("key", "at", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").count().where("count > 1").select("half")
     wanted = stage(halves.join(shared, "half").select("key", "at").distinct(), "line-candidates")
     texts = stage(
-        raw.join(bounded(wanted, BROADCAST_ROWS), "at")
+        _passing(raw, wanted)
+        .join(wanted, "at")
         .select("key", "at", line_words(F.col("line")).alias("words"))
         .select("key", "at", F.size("words").alias("n"), "words")
         .dropDuplicates(["key"]),  # of repeated rows one
