@@ -160,3 +160,26 @@ def test_model_comparison(spark):
     groups = metrics.accuracy_by_group(got, "description", ["one_acc", "two_acc"]).collect()
     assert {r.description: (r.one_acc, r.two_acc) for r in groups} == {"x": (1.0, 0.0), "y": (1.0, 0.0)}
     assert metrics.comparison_means(got, ["one"]).first().one_acc == 1.0
+
+
+def test_features_without_gaps_enter_once(spark, monkeypatch):
+    """The trees are those of a fit to which every feature is given on both sides."""
+    rng = random.Random(3)
+    rows = [(float(rng.randint(0, 40)), rng.choice([None, 1.0, 2.0]), rng.randint(0, 9)) for _ in range(400)]
+    df = spark.createDataFrame([(a, b, c, a * c + (b or 7.0)) for a, b, c in rows], "a double, b double, c int, y double")
+    fitted = models.train(df, ["a", "b", "c"], "y", trees=6)
+    assert [i.helper for i in models.model_inputs(fitted)] == ["_f_a_low", "_f_b_low", "_f_c_low", "_f_b_high"]
+    assert not fitted.stages[-1].getCacheNodeIds()
+
+    def both(table, columns):
+        made = [f"COALESCE(CAST(`{c}` AS DOUBLE), {fill}) AS `_f_{c}_{side}`" for side, fill in (("low", -1e3), ("high", 1e3)) for c in columns]
+        return [models.SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")], [m.split("`")[-2] for m in made]
+
+    monkeypatch.setattr(models, "side_stages", both)
+    doubled = models.train(df, ["a", "b", "c"], "y", trees=6)
+    predict = lambda model: [r.p for r in models.predict(model, df, "p").collect()]
+    assert predict(fitted) == predict(doubled)
+    # A gap where training had none goes below all values.
+    later = spark.createDataFrame([(None, 1.0, 5), (-50.0, 1.0, 5)], "a double, b double, c int")
+    low, known = (r.predictions for r in models.predict(fitted, later).collect())
+    assert low == known
