@@ -113,3 +113,19 @@ def test_bucketed_panel_needs_no_shuffle(spark, day):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, got.collect())) == sorted(map(str, sales_features(df).collect()))
     spark.sql("DROP TABLE panel_for_test")
+
+
+def test_positions_shuffle_no_rows(spark, tmp_path):
+    """The rows of a file stay in the tasks that read them, whatever the sizes known to the planner."""
+    from shelfcast.sources import with_position
+
+    spark.range(1000).repartitionByRange(3, "id").write.parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = with_position(spark.read.parquet(f"{tmp_path}/in"))
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+        assert sorted(r.position for r in df.collect()) == list(range(1000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
