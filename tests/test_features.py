@@ -171,3 +171,15 @@ def test_lags_and_stats(spark, day):
     assert (last.rolling_five_day_max, last.rolling_five_day_min) == (6.0, 1.0)
     assert last.rolling_five_day_median == 5.0 and last.rolling_seven_day_median == pytest.approx(5.5)
     assert got[1, 1, day(7)].Same_day_1_week_ago == 3.0 and last.Same_day_1_week_ago is None
+
+
+def test_series_are_spread_over_the_tasks_asked_for(spark):
+    """Adaptive execution would merge these few rows into one window task."""
+    from shelfcast.catalog import queries
+
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("sales_features", "feature_fill"):
+        df = queries()[name](spark, "/root/testdata/sf0.001")
+        assert df.rdd.getNumPartitions() == number > 1
+        text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert text.count("Exchange hashpartitioning(shop_id") == 2 and "REPARTITION_BY_NUM" in text  # days, then series
