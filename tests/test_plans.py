@@ -173,3 +173,15 @@ def test_daily_features_read_one_tail_and_the_new_rows(spark, stored, tmp_path):
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
     assert len(queries()) == 67
+
+
+def test_sales_are_not_shuffled_for_clusters_and_sites(spark, stored):
+    """Both are stored first, so that their size is known when the joins are planned."""
+    import importlib
+
+    catalog = importlib.import_module("shelfcast.catalog.queries")
+    text = plan(sales.add_clusters(stored, catalog._stored_clusters(spark, SF)))
+    assert "BroadcastHashJoin" in text and "Exchange hash" not in text
+    sites = catalog._stored_sites(spark, SF)
+    text = plan(weather.add_weather(stored, sites, stage(weather.code_forecast(fx.weather_forecast(spark, SF), catalog.weather_codes(spark, SF)), "forecast")))
+    assert text.count("BroadcastHashJoin") == 2 and "Exchange hash" not in text
