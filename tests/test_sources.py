@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import gc
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.sources import (
     conform,
@@ -16,6 +19,7 @@ from shelfcast.sources import (
     write_parquet,
 )
 from shelfcast.sources import schemas
+from shelfcast.sources.tables import REMOVE_SHUFFLES
 
 
 def test_conform_types_nan_and_missing(spark):
@@ -129,3 +133,25 @@ def test_positions_shuffle_no_rows(spark, tmp_path):
         assert sorted(r.position for r in df.collect()) == list(range(1000))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    gc.collect()
+    before = shuffles()
+    rows = spark.range(10_000).repartition(4, "id").groupBy((F.col("id") % 100).alias("k")).count()
+    assert rows.count() == 100
+    own = shuffles() - before  # a caller's own execution is left alone
+    assert own
+    staged = stage(rows, "swept")
+    ended = time.monotonic() + 20
+    while shuffles() - before - own and time.monotonic() < ended:
+        time.sleep(0.1)
+    assert not shuffles() - before - own
+    assert staged.count() == rows.count() == 100
+    assert spark.conf.get(REMOVE_SHUFFLES) == "false"
