@@ -13,8 +13,8 @@ piece takes no part in merges: it cuts the text. In a unigram model it outweighs
 Composing with an input gives a lattice over its positions, and the shortest path is found in one sweep.
 Since the last piece of the best path to a position is unique, positions are the only states.
 
-No piece holds a meta symbol behind another character, so lattices are cut there, and the paths
-of frequent chunks are remembered in a bounded table.
+No piece holds a meta symbol behind another character, so lattices are cut there, and where no piece holds a letter
+and another character, between these. The paths of frequent chunks are remembered in a bounded table.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from shelfcast.llm.common import text_batches
 
 META = "▁"
+# Word characters but digits, Latin-1's raised ones and fractions; and all the others.
+NO_LETTER = r"\d_\xb2\xb3\xb9\xbc-\xbe"
+LETTER, OTHER = rf"[^\W{NO_LETTER}]", rf"[\W{NO_LETTER}]"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # A chunk table holds at most twice as many chunks, and none longer than this.
@@ -206,7 +209,11 @@ class Transducer:
         inner = any(META in p.lstrip(META) for p in self.ids)
         # Cuts stand before meta symbols, and around line ends where no piece has one.
         cut = "" if any("\n" in p for p in self.ids) else "\n"
-        self.chunks = re.compile(".+" if inner else f"{META}*[^{META}{cut}]+|{META}+" + "|\n" * bool(cut), re.DOTALL)
+        body = f"[^{META}{cut}]+"
+        # And where letters meet other characters, if no piece has both. Without byte fallback unknown neighbours are one piece.
+        if self.bytes and all(re.fullmatch(f"{META}*(?:{LETTER}*|{OTHER}*)", p) for p in self.ids):
+            body = rf"(?:{LETTER}++|(?:[{NO_LETTER}]++|[^\w{META}{cut}]++)++)"
+        self.chunks = re.compile(".+" if inner else f"{META}*{body}|{META}+" + "|\n" * bool(cut), re.DOTALL)
         self.arcs = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.arcs.add_word(piece, (len(piece), i))

@@ -176,3 +176,13 @@ def test_rows_of_every_kind(spark):
     back = {r.doc_id: r.text for r in pieces.decode(out, MODEL).collect()}
     assert back == {i: t for i, t, _ in rows}
     assert pieces.encode(frame.where("false"), MODEL).collect() == []
+
+
+def test_words_are_cut_from_the_signs_beside_them():
+    """Where no piece has a letter and a sign, paths are looked up without the signs; ids stay those of the library."""
+    ours, library = pieces.Transducer(pieces.read_model(MODEL)), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert ours.chunks.findall("▁house,▁(house)12x².\n▁") == ["▁house", ",", "▁(", "house", ")12", "x", "².", "\n", "▁"]
+    for text in strings("abé字².½,(_)1 ▁\n😀\u0301", 600) + ["1." * 50_000, "a1" * 50_000]:
+        assert ours.encode(text) == library.encode(text), text[:80]
+    # Without byte fallback neighbouring unknown characters are one piece, a letter and a sign too.
+    assert pieces.Transducer(unigram_model(False)).chunks.findall("▁xy,") == ["▁xy,"]
