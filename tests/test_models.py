@@ -183,3 +183,24 @@ def test_features_without_gaps_enter_once(spark, monkeypatch):
     later = spark.createDataFrame([(None, 1.0, 5), (-50.0, 1.0, 5)], "a double, b double, c int")
     low, known = (r.predictions for r in models.predict(fitted, later).collect())
     assert low == known
+
+
+def test_rows_of_a_fit_are_dealt_evenly(spark, monkeypatch):
+    """However the table's files are cut, each task of the boosting gets as many rows, and vectors are made once."""
+    seen = {}
+
+    class Watched(models.GBTRegressor):
+        def fit(self, table):
+            seen["sizes"] = table.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+            seen["stored"] = table.storageLevel
+            return super().fit(table)
+
+    monkeypatch.setattr(models, "GBTRegressor", Watched)
+    cores = spark.sparkContext.defaultParallelism
+    lopsided = spark.range(0, 10_000, 1, 3).union(spark.range(10_000, 100_000, 1, 1)).selectExpr("id % 100 AS x", "id % 7 + 1D AS y")
+    models.train(lopsided, ["x"], "y", trees=2, depth=1)
+    assert sum(seen["sizes"]) == 100_000 and len(seen["sizes"]) == min(cores, 5)
+    assert max(seen["sizes"]) - min(seen["sizes"]) <= 4
+    assert seen["stored"].useDisk and not seen["stored"].useMemory
+    most, least = models.MOST_ROWS, models.LEAST_ROWS
+    assert [models.even_parts(n, 12) for n in (1, least + 1, 12 * most, 12 * most + 1)] == [1, 2, 12, 24]
