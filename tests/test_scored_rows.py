@@ -1,0 +1,70 @@
+"""Scoring and comparing queries store what they read; their rows are those made of the whole feature table."""
+
+from __future__ import annotations
+
+import importlib
+
+from pyspark.sql import functions as F
+
+from shelfcast import standins as fx
+from shelfcast.functions.dates import parse_ymd
+from shelfcast.operators import checks, dataset, models, scoring
+from shelfcast.plans import pipeline
+from shelfcast.sources.schemas import CLUSTER_MODEL_COLUMNS
+from tests.test_training_flags import SF
+
+catalog = importlib.import_module("shelfcast.catalog.queries")
+
+
+def rows(table):
+    return sorted(map(str, table.collect()))
+
+
+def whole(spark):
+    return dataset.add_holidays(catalog._feature_table(spark, SF, ["out_of_range"]), fx.holidays(spark, SF))
+
+
+def test_cluster_fits_and_scores_get_the_rows_of_the_whole_table(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(models, "train_each", lambda parts, *args, **options: seen.update(parts))
+    monkeypatch.setattr(pipeline, "score_clusters", lambda scored, *args, **options: scored)
+    scored, table = catalog.score_by_cluster(spark, SF), whole(spark).cache()
+    wanted = [*CLUSTER_MODEL_COLUMNS, "t_date", "new_qty", "cluster"]
+    before = F.col("t_date") < F.lit(parse_ymd(fx.SCORING_AS_OF))
+    assert seen and set(seen) <= set(scoring.CLUSTERS)
+    for cluster, part in seen.items():
+        assert part.columns == wanted
+        assert rows(part) == rows(checks.project(table.where(before & (F.col("cluster") == cluster)), wanted))
+    old = dataset.scoring_input(
+        table.drop("school_holiday", "shop_name"), fx.holidays(spark, SF), fx.clusters(spark, SF), fx.SCORING_AS_OF
+    )
+    assert scored.columns == old.columns and rows(scored) == rows(old) and scored.count() > 0
+
+
+def test_a_comparison_stores_its_rows_once(spark, monkeypatch):
+    seen, stored, stage = {}, [], catalog.stage
+
+    def fitted(history, columns, label, depths):
+        seen["history"], seen["depths"] = history, list(depths)
+        return dict.fromkeys(depths)
+
+    def watched(df, label="stage", *args, **options):
+        stored.append(label)
+        return stage(df, label, *args, **options)
+
+    monkeypatch.setattr(models, "train_depths", fitted)
+    monkeypatch.setattr(pipeline, "compare_rows", lambda compared, first, second: compared)
+    monkeypatch.setattr(catalog, "stage", watched)
+    compared = catalog.compare_fitted(spark, SF)
+    assert not {"features", "history"} & set(stored) and stored.count("compared") == 1 and seen["depths"] == [2, 3]
+    want = checks.project(whole(spark), pipeline.COMPARED_COLUMNS)
+    assert compared.columns == want.columns and rows(compared) == rows(want)
+    assert rows(seen["history"]) == rows(want.where(F.col("t_date") < F.lit(parse_ymd(fx.TRAIN_END))))
+
+
+def test_depths_are_fitted_side_by_side_as_alone(spark):
+    df = spark.range(500).selectExpr("CAST(id % 20 AS DOUBLE) AS x", "id % 7 AS z", "CAST(id % 20 * (id % 7) AS DOUBLE) AS y")
+    both = models.train_depths(df, ["x", "z"], "y", (1, 2), trees=3)
+    for depth, model in both.items():
+        alone = models.train(df, ["x", "z"], "y", depth=depth, trees=3)
+        assert [t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees] == [t.toDebugString.split("\n", 1)[1] for t in alone.stages[-1].trees]
